@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, sentencepiece_codec, token_counts
 from .common import table
 
 
@@ -14,5 +14,13 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup)}
+def op4_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.digests(sentencepiece_codec.encode_decode(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece)}
 ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL}
