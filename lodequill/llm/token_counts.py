@@ -68,7 +68,7 @@ def splice_ids(m: Model, text: str, chunk: int = CHUNK, overlap: int = OVERLAP):
             wide *= 2
         if p is None:  # no stable position since the last splice: one longer chunk
             hi = min(n, hi + max(chunk, hi - start))
-            ids, ends = _encoded(m, text, start, hi)
+            ids, ends = _encoded(m, text, max(0, start - 1), hi)
             continue
         first = np.searchsorted(ends, start, "right") if start else 0
         yield ids[first : np.searchsorted(ends, p, "right")]
