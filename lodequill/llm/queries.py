@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sentencepiece_codec, token_counts
+from . import exact_dedup, html_text, mixing, sentencepiece_codec, token_counts
 from .common import table
 
 
@@ -22,5 +22,9 @@ def op8_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.digests(sentencepiece_codec.encode_decode(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece)}
+def op10_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text)}
 ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL}
