@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_text, mixing, sentencepiece_codec, token_counts
+from . import exact_dedup, html_text, mixing, sentencepiece_codec, token_counts, warc
 from .common import table
 
 
@@ -26,5 +26,9 @@ def op10_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text)}
-ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL}
+def op5_warc(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text, op5_warc)}
+ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL, "op5_warc": warc.SQL}
