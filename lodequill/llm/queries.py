@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_text, mixing, sentencepiece_codec, token_counts, warc
+from . import exact_dedup, exact_topk, html_text, mixing, sentencepiece_codec, token_counts, warc
 from .common import table
 
 
@@ -30,5 +30,9 @@ def op5_warc(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text, op5_warc)}
-ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL, "op5_warc": warc.SQL}
+def op7_exact_topk(spark, sf_dir):
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text, op5_warc, op7_exact_topk)}
+ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL, "op5_warc": warc.SQL, "op7_exact_topk": exact_topk.SQL}
