@@ -4,7 +4,7 @@ Records move as rows (record id, chunk number, bytes) of at most `chunk` bytes,
 never as one payload beside its source value: writers append chunk after chunk
 to a file while a SHA-1 and a SHA-256 are carried from chunk to chunk, and
 readers hold one block of a file at a time, carry the digest in the same way
-and give a row for each chunk.
+and give a row for each chunk. Each record is a gzip member of its own.
 
 Among records whose payloads are equal and at least `revisit_from` bytes long,
 the one with the largest page_id is a response and the others revisit it.
@@ -27,9 +27,11 @@ and reads as no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -90,16 +92,18 @@ def write_archives(pages: DataFrame, folder: str | None = None, chunk: int = CHU
 
     def run(batches):
         store, root = _filesystem(folder)
-        out, name, count, size = None, f"{root}/part-{uuid.uuid4().hex}.warc", 0, 0
+        out, name, count, size = None, f"{root}/part-{uuid.uuid4().hex}.warc.gz", 0, 0
         try:
             for b in batches:
                 for page_id, url, page, refers in zip(*(c.to_pylist() for c in b.columns)):
                     if out is None:
                         store.create_dir(root, recursive=True)
-                        out = store.open_output_stream(name, buffer_size=1 << 20)
+                        out = store.open_output_stream(name, compression=None, buffer_size=1 << 20)
+                    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
                     for part in record_chunks(page_id, url, page.encode(), refers, when, chunk):
-                        out.write(part)
-                        size += len(part)
+                        out.write(pack.compress(part))
+                    out.write(pack.flush())
+                    size = out.tell()
                     count += 1
         finally:
             if out is not None:
@@ -174,7 +178,7 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK, wi
         for b in batches:
             for path in b.column(0).to_pylist():
                 store, local = _filesystem(path)
-                with store.open_input_stream(local, buffer_size=1 << 20) as stream:
+                with store.open_input_stream(local, compression=None, buffer_size=1 << 20) as packed, gzip.GzipFile(fileobj=packed) as stream:
                     for h, body in _records(stream, chunk):
                         kind, url = h["warc-type"], h.get("warc-target-uri")
                         url = None if url is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), url)
