@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, exact_topk, html_text, language_id, minhash_neardup, mixing, sentencepiece_codec, token_counts, warc
+from . import exact_dedup, exact_topk, html_text, language_id, minhash_neardup, mixing, quality_crf, sentencepiece_codec, token_counts, warc
 from .common import table
 
 
@@ -43,5 +43,10 @@ def op1_language_id(spark, sf_dir):
     return language_id.identify(docs, language_id.fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text, op5_warc, op7_exact_topk, op9_minhash_neardup, op1_language_id)}
+def op6_quality_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_crf.score(docs, quality_crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text, op5_warc, op7_exact_topk, op9_minhash_neardup, op1_language_id, op6_quality_crf)}
 ORACLE_SQL = {"op2_mixing": mixing.SQL, "op3_exact_dedup": exact_dedup.SQL, "op5_warc": warc.SQL, "op7_exact_topk": exact_topk.SQL}
