@@ -15,11 +15,12 @@ No bucket is expanded into its pairs:
    doc_id the node.
 2. Each node is compared with one other, the bucket head it shares most keys
    with. Confirmed links make a forest, contracted by pointer jumping.
-3. Buckets whose nodes are all in one component are finished. In the others,
-   nodes of different components are compared block by block by signature;
-   only pairs within the distance leave a task. Each node's closest one of
-   every other component is confirmed first, then, among what is still in
-   different components, all the rest. Nothing is capped or sampled.
+3. In buckets whose nodes are in several components, signatures are compared
+   inside a task, block by block. A pair belongs to its first common key, so it
+   is looked at once. What leaves is the list of nodes that have a candidate of
+   another component there. Their full sets come to the same blocks, every
+   candidate is compared exactly, and only links that join two components of
+   the block leave. Nothing is capped or sampled.
 
 Links are confirmed on the full sets of 64-bit shingle hashes of both texts.
 Similarity: 100 * intersection >= percent * union.
@@ -46,7 +47,8 @@ WORDS, PERCENT = 5, 75
 PARTS, CHUNK = 48, 4
 REACH = 2 * (PARTS // CHUNK) - 1  # 23: distances that surely share a key
 FAR = 28
-BLOCK = 512
+BLOCK, TILE = 4096, 256
+BLOCK_SHINGLES = 1 << 22
 BROADCAST_IDS = 1 << 20
 
 
@@ -90,9 +92,9 @@ def _entries(classes: DataFrame) -> DataFrame:
                     if x != w:
                         k = (k << 16) | s[:, :, x]
                 keys[:, :, w] = k
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, PARTS))], ["key", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, PARTS)), pa.array(np.repeat(b.column(2).to_numpy(), PARTS))], ["key", "node", "n"])
 
-    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
+    return classes.select("node", "sig", "n").mapInArrow(run, "key long, node long, n long")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -157,65 +159,151 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
         edges = _labelled(_labelled(edges.withColumnsRenamed({"node": "a", "parent": "b"}), up, "a", "x"), up, "b", "y").select("x", "y")
 
 
-def _close_pairs(mixed: DataFrame, far: int = FAR, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """(a, b, d): nodes of one bucket, of different components, whose sizes
-    allow the similarity and whose signatures are at most `far` apart. Buckets
-    of more than a block are compared block against block in many tasks."""
-
-    def compare(g, out):
-        node, n, label, side, sig, alone = g
-        rows = [np.arange(len(node))] * 2 if alone else [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
-        x, y = rows
-        ok = label[x][:, None] != label[y][None, :]
-        ok &= 100 * np.minimum(n[x][:, None], n[y][None, :]) >= percent * np.maximum(n[x][:, None], n[y][None, :])
+def _first_common(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distance of signature rows, and the number of their first common key
+    (48 where they have none)."""
+    off = (x != y).reshape(len(x), PARTS // CHUNK, CHUNK)
+    errors = off.sum(2)
+    good = errors <= 1
+    first = good.argmax(1)
+    at = np.arange(len(x))
+    key = first * CHUNK + off[at, first].argmax(1)  # without the component that differs, or the first
+    return errors.sum(1), np.where(good[at, first], key, PARTS)
+
+
+def _candidates(number: int, side, node, n, label, sig, alone: bool, far: int, percent: int):
+    """Yield (i, js): a row and its candidate partners in a block."""
+    rows = np.arange(len(node)) if alone else np.flatnonzero(side == 0)
+    cols = rows if alone else np.flatnonzero(side == 1)
+    for a in range(0, len(rows), TILE):
+        x = rows[a : a + TILE]
+        ok = label[x][:, None] != label[cols][None, :]
+        if not ok.any():
+            continue
+        ok &= 100 * np.minimum(n[x][:, None], n[cols][None, :]) >= percent * np.maximum(n[x][:, None], n[cols][None, :])
         if alone:
-            ok &= node[x][:, None] < node[y][None, :]
+            ok &= node[x][:, None] < node[cols][None, :]
         i, j = np.nonzero(ok)
-        for k in range(0, len(i), 1 << 15):
-            p, q = x[i[k : k + (1 << 15)]], y[j[k : k + (1 << 15)]]
-            d = (sig[p] != sig[q]).sum(1)
-            near = d <= far
-            out.append((np.minimum(node[p], node[q])[near], np.maximum(node[p], node[q])[near], d[near]))
+        keep = np.zeros(len(i), bool)
+        for k in range(0, len(i), 1 << 16):
+            d, first = _first_common(sig[x[i[k : k + (1 << 16)]]], sig[cols[j[k : k + (1 << 16)]]])
+            keep[k : k + (1 << 16)] = (d <= far) & (first == number)
+        i, j = i[keep], j[keep]
+        edge = np.flatnonzero(np.diff(i)) + 1
+        for own in np.split(np.arange(len(i)), edge) if len(i) else ():
+            yield x[i[own[0]]], cols[j[own]]
+
+
+def _blocks(batches):
+    """Record batches sorted by (key, lo, hi) -> one table for each block."""
+    held: list = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ids = np.stack([b.column(i).to_numpy() for i in range(3)], 1)
+        cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(ids)]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            own = tuple(ids[x])
+            if held and own != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = own
+            held.append(b.slice(x, y - x))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _number(key: int) -> int:
+    return int(key) >> 16 * (CHUNK - 1)
+
+
+def _dealt(rows: DataFrame, count: str, shingles: str, columns: list[str]) -> DataFrame:
+    """Rows of (key, ...) dealt to pairs of blocks (lo, hi) of their bucket,
+    sorted by them. Blocks are bounded in rows and in shingles."""
+    blocks = F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    d = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    d = d.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), *columns)
+    return d.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def _undecided(shared: DataFrame, nodes: DataFrame, labels: DataFrame, far: int = FAR, percent: int = PERCENT) -> DataFrame:
+    """(key, node) of entries with a candidate of another component."""
+    info = _labelled(nodes.select("node", "n", "sig"), labels, "node", "label")
 
     def run(batches):
-        held = None
-        out: list = []
-
-        def batch():
-            a, b, d = (np.concatenate([o[i] for o in out]) for i in range(3))
-            out.clear()
-            _, first = np.unique(np.stack([a, b], 1), axis=0, return_index=True)
-            return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(d[first].astype(np.int32))], ["a", "b", "d"])
-
-        def groups(t, last):
-            key, lo, hi, side = (t.column(i).to_numpy() for i in (0, 1, 2, 3))
-            node, n, label = (t.column(i).to_numpy() for i in (4, 5, 6))
-            sig = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(len(key), PARTS)
-            cuts = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
-            cuts = [0, *cuts.tolist(), len(key)]
-            for a, b in zip(cuts[:-1], cuts[1:] if last else cuts[1:-1]):
-                if b - a > 1:
-                    compare((node[a:b], n[a:b], label[a:b], side[a:b], sig[a:b], lo[a] == hi[a]), out)
-            return len(key) if last else cuts[-2]
+        for t in _blocks(batches):
+            key, lo, hi, side, node, n, label = (t.column(i).to_numpy() for i in range(7))
+            if len(node) < 2 or (label == label[0]).all():
+                continue
+            sig = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(len(node), PARTS)
+            hit = np.zeros(len(node), bool)
+            for i, js in _candidates(_number(key[0]), side, node, n, label, sig, lo[0] == hi[0], far, percent):
+                hit[i] = True
+                hit[js] = True
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(node[hit])], ["key", "node"])
+
+    rows = shared.select("key", "node", "c", "s").join(info, "node")
+    found = _dealt(rows, "c", "s", ["node", "n", "label", "sig"]).mapInArrow(run, "key long, node long")
+    return cut(found.distinct(), "neardup-undecided")
+
 
+def _exact_links(undecided: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, far: int = FAR, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """Links (a, b) that join components, confirmed on full sets block by block."""
+
+    def sets(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            held = pa.concat_tables([held, t]).combine_chunks() if held is not None and held.num_rows else t.combine_chunks()
-            if held.num_rows:
-                held = held.slice(groups(held, False))
-            if sum(len(o[0]) for o in out) > 100_000:
-                yield batch()
-        if held is not None and held.num_rows:
-            groups(held.combine_chunks(), True)
-        if out:
-            yield batch()
-
-    sized = mixed.join(mixed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks")), "key")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "label", "sig")
-    found = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a long, b long, d int")
-    return found.groupBy("a", "b").agg(F.min("d").alias("d"))
+            raw, offs = utf8(b.column(1))
+            own = [s.tobytes() for s in shingle_sets(raw, offs, words)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary())], ["node", "set"])
+
+    def run(batches):
+        for t in _blocks(batches):
+            key, lo, hi, side, node, n, label = (t.column(i).to_numpy() for i in range(7))
+            if len(node) < 2:
+                continue
+            sig = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(len(node), PARTS)
+            own = [np.frombuffer(x, np.uint64) for x in t.column(8).to_pylist()]
+            size = np.array([len(x) for x in own])
+            _, flat = np.unique(np.concatenate(own), return_inverse=True)
+            at = np.concatenate([[0], np.cumsum(size)])
+            mark = np.zeros(int(flat.max(initial=0)) + 1, bool)
+            up: dict = {}
+
+            def root(x):
+                while up.get(x, x) != x:
+                    x = up[x]
+                return x
+
+            a, b = [], []
+            for i, js in _candidates(_number(key[0]), side, node, n, label, sig, lo[0] == hi[0], far, percent):
+                mark[flat[at[i] : at[i + 1]]] = True
+                for k in range(0, len(js), 256):
+                    part = js[k : k + 256]
+                    gone = root(label[i])
+                    part = part[[root(x) != gone for x in label[part]]]
+                    if not len(part):
+                        continue
+                    took = np.concatenate([flat[at[j] : at[j + 1]] for j in part])
+                    both = np.add.reduceat(mark[took].astype(np.int64), np.concatenate([[0], np.cumsum(size[part])[:-1]]))
+                    for j in part[100 * both >= percent * (size[i] + size[part] - both)]:
+                        x, y = root(label[i]), root(label[j])
+                        if x != y:
+                            up[max(x, y)] = min(x, y)
+                            a.append(node[i])
+                            b.append(node[j])
+                mark[flat[at[i] : at[i + 1]]] = False
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    ids = undecided.select("node").distinct()
+    info = _labelled(nodes.select("node", "n", "sig"), labels, "node", "label").join(ids, "node", "left_semi")
+    full = info.join(texts.join(ids, "node", "left_semi").mapInArrow(sets, "node long, set binary"), "node")
+    joined = undecided.join(full, "node")
+    size = undecided.join(nodes.select("node", "n"), "node").groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    return cut(_dealt(joined.join(size, "key"), "c", "s", ["node", "n", "label", "sig", "set"]).mapInArrow(run, "a long, b long"), "neardup-links")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -235,8 +323,8 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_
     classes = cut(prints.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
     nodes = classes.where("node IS NOT NULL")
     entries = _entries(nodes)
-    heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head <> tail").drop("tail")
-    shared = cut(entries.join(heads, "key"), "neardup-shared")
+    heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail"), F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where("head <> tail").drop("tail")
+    shared = cut(entries.drop("n").join(heads, "key"), "neardup-shared")
     labels = spark.createDataFrame([], "node long, label long")
     if not shared.isEmpty():
         labels = _linked(rows, nodes, shared, percent, words)
@@ -248,35 +336,17 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_
 
 def _linked(rows: DataFrame, nodes: DataFrame, shared: DataFrame, percent: int, words: int) -> DataFrame:
     spark = rows.sparkSession
-    texts = _texts(rows, cut(shared.select("node").distinct(), "neardup-nodes"))
-    common = shared.where("node <> head").groupBy("node", "head").agg(F.count(F.lit(1)).alias("keys"))
+    common = shared.where("node <> head").repartition("node").groupBy("node", "head").agg(F.count(F.lit(1)).alias("keys"))
     best = common.groupBy("node").agg(F.max(F.struct("keys", -F.col("head"))).alias("m")).select(F.col("node").alias("a"), (-F.col("m").getField("col2")).alias("b"))
     tried = cut(best, "neardup-pairs")
+    texts = _texts(rows, cut(tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct(), "neardup-nodes"))
     links = confirm(tried, texts, percent, words)
     labels = roots(links.select(F.col("a").alias("node"), F.col("b").alias("parent"))) if not links.isEmpty() else spark.createDataFrame([], "node long, label long")
-
-    own = cut(_labelled(shared.select("key", "node"), labels, "node", "label"), "neardup-labelled")
-    open_keys = own.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    mixed = cut(own.join(open_keys, "key").join(nodes.select("node", "n", "sig"), "node"), "neardup-mixed")
-    if mixed.isEmpty():
+    undecided = _undecided(shared, nodes, labels, percent=percent)
+    if undecided.isEmpty():
         return labels
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    close = cut(_close_pairs(mixed, percent=percent).join(done, ["a", "b"], "left_anti"), "neardup-close")
-    for last in (False, True):
-        apart = _labelled(_labelled(close, labels, "a", "x"), labels, "b", "y").where("x <> y")
-        if not last:
-            apart = cut(apart, "neardup-apart")
-            one = apart.groupBy("a", "y").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-            two = apart.groupBy("b", "x").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-            pairs = cut(one.unionByName(two).distinct(), "neardup-pairs")
-        else:
-            pairs = cut(apart.select("a", "b").join(pairs, ["a", "b"], "left_anti"), "neardup-pairs")
-        if pairs.isEmpty():
-            break
-        links = confirm(pairs, texts, percent, words)
-        if not links.isEmpty():
-            labels = merge(labels, links)
-    return labels
+    links = _exact_links(undecided, nodes, labels, texts, percent=percent, words=words)
+    return labels if links.isEmpty() else merge(labels, links)
 
 
 def near_keepers(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
