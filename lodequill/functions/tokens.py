@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 
 TokenCounter = Callable[[str], int]
-_TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
+_TOKEN = re.compile(r"[^\W_]+|[^\w \t\n\x0b\f\r]|_")
 
 
 def default_counter(text: str) -> int:
