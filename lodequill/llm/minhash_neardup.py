@@ -18,9 +18,9 @@ No bucket is expanded into its pairs:
 3. In buckets whose nodes are in several components, signatures are compared
    inside a task, block by block. A pair belongs to its first common key, so it
    is looked at once. What leaves is the list of nodes that have a candidate of
-   another component there. Their full sets come to the same blocks, every
-   candidate is compared exactly, and only links that join two components of
-   the block leave. Nothing is capped or sampled.
+   another component there. Their texts come to the same blocks, their full
+   sets are built there, every candidate is compared exactly, and only links
+   that join two components of the block leave. Nothing is capped or sampled.
 
 Links are confirmed on the full sets of 64-bit shingle hashes of both texts.
 Similarity: 100 * intersection >= percent * union.
@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, cut, slices, utf8
@@ -92,9 +92,9 @@ def _entries(classes: DataFrame) -> DataFrame:
                     if x != w:
                         k = (k << 16) | s[:, :, x]
                 keys[:, :, w] = k
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, PARTS)), pa.array(np.repeat(b.column(2).to_numpy(), PARTS))], ["key", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, PARTS))], ["key", "node"])
 
-    return classes.select("node", "sig", "n").mapInArrow(run, "key long, node long, n long")
+    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -218,10 +218,10 @@ def _number(key: int) -> int:
     return int(key) >> 16 * (CHUNK - 1)
 
 
-def _dealt(rows: DataFrame, count: str, shingles: str, columns: list[str]) -> DataFrame:
+def _dealt(rows: DataFrame, count: str, shingles: Column, columns: list[str]) -> DataFrame:
     """Rows of (key, ...) dealt to pairs of blocks (lo, hi) of their bucket,
     sorted by them. Blocks are bounded in rows and in shingles."""
-    blocks = F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    blocks = F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     d = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     d = d.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), *columns)
@@ -245,27 +245,24 @@ def _undecided(shared: DataFrame, nodes: DataFrame, labels: DataFrame, far: int
             if hit.any():
                 yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(node[hit])], ["key", "node"])
 
-    rows = shared.select("key", "node", "c", "s").join(info, "node")
-    found = _dealt(rows, "c", "s", ["node", "n", "label", "sig"]).mapInArrow(run, "key long, node long")
+    rows = shared.select("key", "node", "c").join(info, "node")
+    found = _dealt(rows, "c", F.lit(0), ["node", "n", "label", "sig"]).mapInArrow(run, "key long, node long")
     return cut(found.distinct(), "neardup-undecided")
 
 
 def _exact_links(undecided: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, far: int = FAR, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """Links (a, b) that join components, confirmed on full sets block by block."""
 
-    def sets(batches):
-        for b in batches:
-            raw, offs = utf8(b.column(1))
-            own = [s.tobytes() for s in shingle_sets(raw, offs, words)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary())], ["node", "set"])
-
     def run(batches):
         for t in _blocks(batches):
             key, lo, hi, side, node, n, label = (t.column(i).to_numpy() for i in range(7))
             if len(node) < 2:
                 continue
             sig = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(len(node), PARTS)
-            own = [np.frombuffer(x, np.uint64) for x in t.column(8).to_pylist()]
+            raw, offs = utf8(t.column(8))
+            own = []
+            for x, y in slices(np.diff(offs), 1 << 20):
+                own += shingle_sets(raw[offs[x] : offs[y]], offs[x : y + 1] - offs[x], words)
             size = np.array([len(x) for x in own])
             _, flat = np.unique(np.concatenate(own), return_inverse=True)
             at = np.concatenate([[0], np.cumsum(size)])
@@ -300,10 +297,9 @@ def _exact_links(undecided: DataFrame, nodes: DataFrame, labels: DataFrame, text
 
     ids = undecided.select("node").distinct()
     info = _labelled(nodes.select("node", "n", "sig"), labels, "node", "label").join(ids, "node", "left_semi")
-    full = info.join(texts.join(ids, "node", "left_semi").mapInArrow(sets, "node long, set binary"), "node")
-    joined = undecided.join(full, "node")
+    joined = undecided.join(info.join(texts, "node"), "node")
     size = undecided.join(nodes.select("node", "n"), "node").groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
-    return cut(_dealt(joined.join(size, "key"), "c", "s", ["node", "n", "label", "sig", "set"]).mapInArrow(run, "a long, b long"), "neardup-links")
+    return cut(_dealt(joined.join(size, "key"), "c", F.col("s"), ["node", "n", "label", "sig", "text"]).mapInArrow(run, "a long, b long"), "neardup-links")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -323,8 +319,8 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_
     classes = cut(prints.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
     nodes = classes.where("node IS NOT NULL")
     entries = _entries(nodes)
-    heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("tail"), F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where("head <> tail").drop("tail")
-    shared = cut(entries.drop("n").join(heads, "key"), "neardup-shared")
+    heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1")  # a node has a key once
+    shared = cut(entries.join(heads, "key"), "neardup-shared")
     labels = spark.createDataFrame([], "node long, label long")
     if not shared.isEmpty():
         labels = _linked(rows, nodes, shared, percent, words)
@@ -339,7 +335,7 @@ def _linked(rows: DataFrame, nodes: DataFrame, shared: DataFrame, percent: int,
     common = shared.where("node <> head").repartition("node").groupBy("node", "head").agg(F.count(F.lit(1)).alias("keys"))
     best = common.groupBy("node").agg(F.max(F.struct("keys", -F.col("head"))).alias("m")).select(F.col("node").alias("a"), (-F.col("m").getField("col2")).alias("b"))
     tried = cut(best, "neardup-pairs")
-    texts = _texts(rows, cut(tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct(), "neardup-nodes"))
+    texts = _texts(rows, cut(shared.select("node").distinct(), "neardup-nodes"))  # heads that nobody chose among them
     links = confirm(tried, texts, percent, words)
     labels = roots(links.select(F.col("a").alias("node"), F.col("b").alias("parent"))) if not links.isEmpty() else spark.createDataFrame([], "node long, label long")
     undecided = _undecided(shared, nodes, labels, percent=percent)
