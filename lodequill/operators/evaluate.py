@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import half_up
 from . import vectors
+from .manifest import one_row
 
 # Categories of embedding failures.
 FAILURES = ("Rate limit", "Timeout", "Token limit", "Empty chunk", "Duplicate chunk", "API error", "Serialization", "Other")
@@ -61,19 +62,19 @@ def diagnostics(documents: DataFrame, manifest: DataFrame, remote: DataFrame) ->
     s = F.col("embedding_status")
     m = manifest.agg(F.count_if(s != "deleted").alias("indexed_chunks"), F.count_if(s == "embedded").alias("embedded_chunks"), F.count_if(s == "pending").alias("pending_chunks"))
     known = manifest.select("chunk_id").distinct()
-    return (
-        count(documents.where("status <> 'deleted'"), "indexed_documents")
-        .crossJoin(m)
-        .crossJoin(count(remote, "vectors"))
-        .crossJoin(count(vectors.missing_vectors(manifest, remote), "missing_vectors"))
-        .crossJoin(count(remote.join(known, "chunk_id", "left_anti"), "orphan_vectors"))
-    )  # single rows
+    return one_row(
+        count(documents.where("status <> 'deleted'"), "indexed_documents"),
+        m,
+        count(remote, "vectors"),
+        count(vectors.missing_vectors(manifest, remote), "missing_vectors"),
+        count(remote.join(known, "chunk_id", "left_anti"), "orphan_vectors"),
+    )
 
 
 def stats(documents: DataFrame, manifest: DataFrame, vectors_: DataFrame) -> DataFrame:
     d = documents.where("status <> 'deleted'").agg(F.count(F.lit(1)).alias("documents"), F.array_sort(F.collect_set("language")).alias("languages"))
     m = manifest.agg(F.count_if(F.col("embedding_status") != "deleted").alias("chunks"), F.count_if(F.col("embedding_status") == "embedded").alias("embeddings"))
-    return d.crossJoin(m).crossJoin(vectors_.agg(F.count(F.lit(1)).alias("vectors")))  # single rows
+    return one_row(d, m, vectors_.agg(F.count(F.lit(1)).alias("vectors")))
 
 
 def throughput(measurements: DataFrame, keep: int = 50) -> DataFrame:

@@ -60,9 +60,17 @@ def build(chunks: DataFrame, documents: DataFrame, chunk_entries: DataFrame, ind
     return d, c, index_summary(d, c)
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Rows of single-row frames side by side, without joining them."""
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in u.columns])
+
+
 def index_summary(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     d = documents.agg(F.count(F.lit(1)).alias("total_documents"), F.count_if(F.col("status") == "changed").alias("changed_documents"), F.count_if(F.col("status") == "deleted").alias("deleted_documents"))
-    return d.join(chunks.agg(F.count(F.lit(1)).alias("total_chunks"), F.count_if(F.col("embedding_status") == "pending").alias("pending_embeddings")))
+    return one_row(d, chunks.agg(F.count(F.lit(1)).alias("total_chunks"), F.count_if(F.col("embedding_status") == "pending").alias("pending_embeddings")))
 
 
 def duplicate_contents(documents: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import materialize
+
 BANDS = 4
 
 
@@ -57,27 +57,17 @@ def exact_groups(hashed: DataFrame, key: str, value: str) -> DataFrame:
     return hashed.groupBy(value).agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first_id")).where("copies > 1")
 
 
-def _store(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        return df.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.cache()
-    path = f"{folder}/lodequill/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of links (a, b): every round takes the smallest label
     among the neighbours and then jumps to that label's label."""
-    both = _store(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "id")
     while True:
-        labels = _store(labels)
+        labels = materialize(labels)
         near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         low = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", "label", F.least("label", "near").alias("low"))
         up = labels.select(F.col("id").alias("low"), F.col("label").alias("higher"))
-        new = _store(low.join(up, "low", "left").select("id", "label", F.least("low", "higher").alias("new")))
+        new = materialize(low.join(up, "low", "left").select("id", "label", F.least("low", "higher").alias("new")))
         if new.where("new <> label").isEmpty():
             return new.select("id", F.col("label").alias("component"))
         labels = new.select("id", F.col("new").alias("label"))

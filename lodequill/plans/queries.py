@@ -4,7 +4,6 @@ remote collection, hits) are derived from whole tables by expressions."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from ..operators import pages as P
 from ..operators import retrieval as R
 from ..operators import urls as L
 from ..operators import vectors as V
-from ..sources import readers
+from ..sources import readers, sinks
 from ..streaming import incremental
 from . import etl, service
 
@@ -634,12 +633,10 @@ def throughput(spark, sf):
 @query()
 def stream_manifest(spark, sf):
     """A file stream of documents brings the manifests to what a batch gives."""
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
+    root = f"{sinks.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     src = f"{root}/in"
     docs(spark, sf).select("doc_id", "text", "lang", "source").write.mode("overwrite").parquet(src)
     incremental.stream_manifest(spark, src, "doc_id long, text string, lang string, source string", root, lambda d: etl.documents_to_chunks(d), NOW)
-    from ..sources import sinks
-
     return sinks.read_snapshot(spark, f"{root}/entries", M.CHUNKS)
 
 

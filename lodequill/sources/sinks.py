@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,6 +16,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or a local one
+    where the session names none (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        found = jdir.get() if jdir.isDefined() else None
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="lodequill-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage at a table in the shared folder."""
+    path = f"{shared_dir(df.sparkSession)}/lodequill/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_snapshot(df: DataFrame, root: str) -> str:
     """A new version beside the old ones, then the pointer to it: readers see a
     whole version or the one before."""
