@@ -212,6 +212,22 @@ def delete(points: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     return points.join(ids.select(F.col("vector_id").alias(key)), key, "left_anti")
 
 
+def sync(documents: DataFrame, manifest: DataFrame, points: DataFrame, vectors: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The collection and the manifest after one synchronisation: candidates
+    are uploaded, vectors of deleted documents and orphans go. Running it again
+    changes nothing. points: id, chunk_id, has_content, embedding."""
+    new = sync_candidates(manifest, points, vectors, chunks)
+    gone = deleted_vectors(documents, manifest)
+    uploaded = new.select(F.col("vector_id").alias("id"), "chunk_id", F.lit(True).alias("has_content"), "embedding")
+    after = delete(upsert(points, uploaded), gone)
+    up = new.select("chunk_id", F.col("vector_id").alias("new_id"))
+    lost = gone.withColumn("gone", F.lit(True))
+    m = manifest.join(up, "chunk_id", "left").join(lost, "vector_id", "left")
+    state = {"vector_id": F.when(F.col("gone"), F.lit(None).cast("string")).otherwise(F.coalesce("new_id", "vector_id")), "embedding_status": F.when(F.col("new_id").isNotNull(), "embedded").otherwise(F.col("embedding_status"))}
+    entries = m.select(*[state[c].alias(c) if c in state else F.col(c) for c in manifest.columns])
+    return delete(after, orphan_vectors(after, entries)), entries
+
+
 def sync_status(manifest: DataFrame) -> DataFrame:
     s, v = F.col("embedding_status"), F.col("vector_id")
     return manifest.agg(

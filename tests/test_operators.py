@@ -156,6 +156,20 @@ def test_embedding_resumes(spark):
     assert vectors.retrying(flaky, 3, lambda s: None)(1) == 1 and len(calls) == 3
 
 
+def test_sync_settles(spark):
+    m = spark.createDataFrame([("a", "d1", "h", "pending", None), ("b", "d1", "h", "embedded", "vb"), ("c", "d2", "h", "embedded", "vc"), ("e", "d1", "h", "deleted", "ve"), ("f", "d1", "h", "embedded", None)], "chunk_id string, document_id string, content_hash string, embedding_status string, vector_id string")
+    docs = spark.createDataFrame([("d1", "unchanged"), ("d2", "deleted")], "document_id string, status string")
+    points = spark.createDataFrame([("vb", "b", True, [1.0]), ("vc", "c", True, [1.0]), ("ve", "e", True, [1.0]), ("vx", None, True, [1.0])], "id string, chunk_id string, has_content boolean, embedding array<double>")
+    vecs = spark.createDataFrame([("a", "h", [2.0]), ("f", "stale", [2.0])], "chunk_id string, content_hash string, embedding array<double>")
+    chunks = spark.createDataFrame([(c, "h") for c in "abcef"], "chunk_id string, content_hash string")
+    after, entries = vectors.sync(docs, m, points, vecs, chunks)
+    assert sorted(r.chunk_id for r in after.collect()) == ["a", "b"]
+    state = {r.chunk_id: (r.embedding_status, r.vector_id) for r in entries.collect()}
+    assert state["a"][0] == "embedded" and state["b"] == ("embedded", "vb") and state["c"][1] is None and state["e"] == ("deleted", None) and state["f"] == ("embedded", None)
+    again, _ = vectors.sync(docs, entries, after, vecs, chunks)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, after.collect()))
+
+
 # ---- retrieval to answers
 
 
