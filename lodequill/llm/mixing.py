@@ -84,9 +84,9 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: int
     counts = counts.groupBy("doc_id", "h").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
     picked = held.join(counts, (F.col("k_id").eqNullSafe(F.col("doc_id"))) & (F.col("k_h.h") == F.col("h")))
     if not counts.where("n > 1").isEmpty():
-        raise_free = picked.where("n = 1")
+        single = picked.where("n = 1")
         twin = picked.where("n > 1").select("row", "copies").dropDuplicates(["row"])
-        picked = raise_free.select("row", "copies").unionByName(twin)
+        picked = single.select("row", "copies").unionByName(twin)
     return picked.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
