@@ -1,10 +1,24 @@
 """SentencePiece encoding and decoding through a table of distinct words.
 
 Where no piece crosses a whitespace marker (proved from the vocabulary), a
-text's ids are its marked words' ids one after another. Each Arrow batch
-collects its distinct marked words, segments those that the worker's table
-lacks, and puts ids back by position. A model that allows such pieces, or that
-normalises texts, encodes whole texts instead.
+text's ids are its marked words' ids one after another, and its decoded text is
+its words' decoded texts joined by spaces. So:
+
+1. Tasks gather rows into blocks of bounded size and send a block's distinct
+   marked words, in order of appearance, to buckets by a hash of the word.
+2. A bucket is the table of its distinct words: each is segmented and decoded
+   once, whatever number of blocks asks for it. Ids go back to the block.
+3. A block's texts meet the ids of its words, which are joined by position.
+
+Rows that travel are blocks and (block, bucket) lists, never single words, and
+a word is sent once a block, so frequent words make no hot key. A bucket's
+table is emptied beyond `TABLE` words: memory stays bounded and results stay
+right, only words would then be segmented again; more `buckets` avoid that. A
+block's name holds a digest of its rows. Should a source give other rows when
+it is read again, the block finds no ids and segments its words itself.
+
+A model that allows pieces across markers, or that normalises texts, encodes
+whole texts instead.
 
 Defined results: a null or empty text has no ids and decodes to an empty text.
 Rows are independent: ties, repeated rows and null doc_ids pass through. Words
@@ -14,15 +28,26 @@ gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
+from array import array
+from itertools import chain
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, slices
-from .pieces import WordTable, default_model, marked_words, model
+from .pieces import Model, WordTable, default_model, marked_words, model
 
 SCHEMA = "doc_id long, ids array<int>, decoded string"
+PARCEL = "block string, bucket int, data binary"
+BLOCK = 8 << 20  # bytes of text
+BUCKETS = 256
+TABLE = 1_000_000
+TEXTS = -1  # the bucket number of a block's own rows
 
 
 def encode_texts(texts: list[str], words: WordTable) -> list[np.ndarray]:
@@ -34,25 +59,186 @@ def encode_texts(texts: list[str], words: WordTable) -> list[np.ndarray]:
     return [np.frombuffer(b"".join([known[w] for w in s]), np.int32) for s in split]
 
 
-def encode_decode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids, decoded for each row."""
-    path = model_path or default_model()
-    arrow_limits(docs.sparkSession, 1000, 4)
+def _pack(batch: pa.RecordBatch | pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _blocks(batches, size: int):
+    """Record batches of (doc_id, text) -> (name, table) of about `size` bytes."""
+    part, count, held, total = TaskContext.get().partitionId(), 0, [], 0
+
+    def block():
+        t = pa.Table.from_batches(held).combine_chunks()
+        digest = hashlib.blake2b(digest_size=16)
+        for c in t.columns:
+            for chunk in c.chunks:
+                digest.update(repr(chunk.null_count).encode())
+                digest.update(pa.concat_arrays([chunk]).fill_null(0 if pa.types.is_integer(c.type) else "").buffers()[-1] or b"")
+        return f"{part}-{count}-{digest.hexdigest()}", t
+
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            total += b.nbytes
+            if total >= size:
+                yield block()
+                count, held, total = count + 1, [], 0
+    if held:
+        yield block()
+
+
+def _distinct(split: list[list[str]], buckets: int) -> tuple[list[str], np.ndarray]:
+    """A block's distinct words dealt to buckets, and where each bucket ends."""
+    words = list(dict.fromkeys(chain.from_iterable(split)))
+    own = np.fromiter((crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+    return [words[i] for i in np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=buckets))
+
+
+def _parcels(rows) -> pa.RecordBatch:
+    block, bucket, data = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.string()), pa.array(bucket, pa.int32()), pa.array(data, pa.binary())], ["block", "bucket", "data"])
+
+
+def word_lists(docs: DataFrame, buckets: int = BUCKETS, block: int = BLOCK) -> DataFrame:
+    """(block, bucket, its distinct marked words) of (doc_id, text)."""
+
+    def run(batches):
+        for name, t in _blocks(batches, block):
+            words, ends = _distinct([marked_words(x or "") for x in t.column(1).to_pylist()], buckets)
+            starts = np.concatenate([[0], ends[:-1]])
+            rows = [(name, k, _pack(pa.record_batch([pa.array(words[a:z], pa.string())], ["word"]))) for k, (a, z) in enumerate(zip(starts, ends)) if z > a]
+            if rows:
+                yield _parcels(rows)
+
+    return docs.mapInArrow(run, PARCEL)
+
+
+def block_texts(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(block, TEXTS, its rows) of (doc_id, text)."""
+
+    def run(batches):
+        for name, t in _blocks(batches, block):
+            yield _parcels([(name, TEXTS, _pack(t))])
+
+    return docs.mapInArrow(run, PARCEL)
+
+
+def _both(m: Model):
+    """What the table holds of a word: ids as int32 bytes, and decoded text."""
+    return lambda ids: (array("i", ids).tobytes(), m.sp.decode(ids))
+
+
+def segmented(lists: DataFrame, path: str) -> DataFrame:
+    """Word lists -> ids and decoded text (null: the word itself) of each word."""
 
     def run(batches):
         m = model(path)
-        words = WordTable(m, lambda ids: np.array(ids, np.int32).tobytes())
+        table, last = None, None
         for b in batches:
-            lengths = np.array([len(x) if (x := v.as_py()) else 0 for v in b.column(1)])
-            for i, j in slices(lengths, 1 << 20):
-                part = b.slice(i, j - i)
-                ids = encode_texts([t or "" for t in part.column(1).to_pylist()], words)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-                decoded = [m.sp.decode(x.tolist()) if len(x) else "" for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+            for name, bucket, data in zip(*(c.to_pylist() for c in b.columns)):
+                if bucket != last:
+                    table, last = WordTable(m, _both(m), TABLE), bucket
+                words = _unpack(data).column(0).to_pylist()
+                known = table.fill(words)
+                got = [known[w] for w in words]
+                ends = np.cumsum([0, *(len(x) >> 2 for x, _ in got)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([x for x, _ in got]), np.int32)))
+                plain = pa.array([None if y == w else y for w, (_, y) in zip(words, got)], pa.string())
+                yield _parcels([(name, bucket, _pack(pa.record_batch([ids, plain], ["ids", "decoded"])))])
+
+    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PARCEL)
+
+
+def _known(parcels: dict, split: list[list[str]], buckets: int, m: Model) -> dict:
+    """A block's words with ids and decoded texts, by position in its lists."""
+    words, ends = _distinct(split, buckets)
+    known, a = {}, 0
+    for k, z in enumerate(ends.tolist()):
+        if z > a and k in parcels:
+            ids, decoded = _unpack(parcels[k]).combine_chunks().columns
+            ids = ids.chunk(0)
+            raw = ids.values.to_numpy().tobytes()
+            at = (ids.offsets.to_numpy() * 4).tolist()
+            for w, x, y, plain in zip(words[a:z], at, at[1:], decoded.to_pylist()):
+                known[w] = raw[x:y], w if plain is None else plain
+        elif z > a:
+            known |= WordTable(m, _both(m), TABLE).fill(words[a:z])
+        a = z
+    return known
+
+
+def _coded(doc_ids: pa.Array, ids: list, decoded: list[str]) -> pa.RecordBatch:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+    return pa.RecordBatch.from_arrays([doc_ids.cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+
+
+def _runs(t: pa.Table):
+    """Slices of a block whose texts have about 2^20 characters."""
+    b = t.to_batches()[0]
+    lengths = np.array([len(x) if (x := v.as_py()) else 0 for v in b.column(1)])
+    for i, j in slices(lengths, 1 << 20):
+        yield b.slice(i, j - i)
+
+
+def joined(parcels: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
+    """Texts and ids of blocks -> doc_id, ids, decoded."""
+
+    def rows(batches):
+        for b in batches:
+            yield from zip(*(c.to_pylist() for c in b.columns))
+
+    def finish(texts, lists, m):
+        for data in texts:
+            t = _unpack(data).combine_chunks()
+            known = _known(lists, [marked_words(x or "") for x in t.column(1).to_pylist()], buckets, m)
+            for part in _runs(t):
+                split = [[known[w] for w in marked_words(x or "")] for x in part.column(1).to_pylist()]
+                yield _coded(part.column(0), [np.frombuffer(b"".join([x for x, _ in s]), np.int32) for s in split], [" ".join([y for _, y in s]) for s in split])
+
+    def run(batches):
+        m = model(path)
+        last, texts, lists = None, [], {}
+        for name, bucket, data in rows(batches):
+            if name != last:
+                yield from finish(texts, lists, m)
+                last, texts, lists = name, [], {}
+            if bucket == TEXTS:
+                texts.append(data)
+            else:
+                lists[bucket] = data
+        yield from finish(texts, lists, m)
+
+    return parcels.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(run, SCHEMA)
+
+
+def _whole(docs: DataFrame, path: str) -> DataFrame:
+    def run(batches):
+        m = model(path)
+        for b in batches:
+            texts = [x or "" for x in b.column(1).to_pylist()]
+            ids = m.sp.encode(texts, num_threads=1)
+            yield _coded(b.column(0), [np.array(x, np.int32) for x in ids], [m.sp.decode(x) if x else "" for x in ids])
+
+    return docs.mapInArrow(run, SCHEMA)
+
+
+def encode_decode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, block: int = BLOCK) -> DataFrame:
+    """doc_id, ids, decoded for each row."""
+    path = model_path or default_model()
+    arrow_limits(docs.sparkSession, 1000, 4)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    if not model(path).marks_split:
+        return _whole(rows, path)
+    ids = segmented(word_lists(rows, buckets, block), path)
+    return joined(block_texts(rows, block).unionByName(ids), path, buckets)
 
 
 def digests(coded: DataFrame) -> DataFrame:

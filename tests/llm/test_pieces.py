@@ -63,3 +63,23 @@ def test_registered_query_against_the_library(spark, sf_dir, name):
         if name == "op8_sentencepiece":
             assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
             assert r.decoded_sha256 == hashlib.sha256(M.sp.decode(ids).encode()).hexdigest()
+
+
+def test_blocks_and_buckets_change_nothing(spark):
+    """Blocks of one row, one bucket, and blocks whose lists are missing."""
+    from lodequill.llm import sentencepiece_codec as c
+
+    texts = ["a b  c", "▁x \x00 <s>", None, "", " ", "漢字 é́ b", "a b  c", "z" * 3000, "the " * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {i: (M.sp.encode(t or ""), M.sp.decode(M.sp.encode(t or ""))) for i, t in enumerate(texts)}
+    rows = df.select("doc_id", "text")
+    for got in (encode_decode(df, buckets=1, block=1), encode_decode(df, buckets=7), c.joined(c.block_texts(rows), default_model())):
+        assert {r.doc_id: (r.ids, r.decoded) for r in got.collect()} == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXT)
+def test_decoded_words_join_to_the_librarys_text(text):
+    from lodequill.llm.pieces import marked_words
+
+    assert " ".join(M.sp.decode(M.sp.encode(w) if w else [M.mark_id]) for w in marked_words(text)) == M.sp.decode(M.sp.encode(text))
