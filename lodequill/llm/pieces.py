@@ -46,6 +46,7 @@ class Model:
                 self.width[i] = not 0x80 <= int(p.piece[3:5], 16) <= 0xBF
             elif p.type != kinds.CONTROL:
                 self.width[i] = len(p.piece)
+        self.narrow = np.uint16 if len(proto.pieces) <= 1 << 16 else np.int32  # what ids fit in
         self.unk = self.sp.unk_id()
         self.mark_id = self.sp.piece_to_id(MARK)
 

@@ -5,7 +5,7 @@ text's ids are its marked words' ids one after another, and its decoded text is
 its words' decoded texts joined by spaces. So:
 
 1. Tasks gather rows into blocks of bounded size and send a block's distinct
-   marked words, in order of appearance, to buckets by a hash of the word.
+   marked words, sorted, to buckets by a hash of the word.
 2. A bucket is the table of its distinct words: each is segmented and decoded
    once, whatever number of blocks asks for it. Ids go back to the block.
 3. A block's texts meet the ids of its words, which are joined by position.
@@ -47,6 +47,7 @@ PARCEL = "block string, bucket int, data binary"
 BLOCK = 8 << 20  # bytes of text
 BUCKETS = 256
 TABLE = 1_000_000
+LEVEL = 6  # of zstd, for what is shuffled
 TEXTS = -1  # the bucket number of a block's own rows
 
 
@@ -61,7 +62,7 @@ def encode_texts(texts: list[str], words: WordTable) -> list[np.ndarray]:
 
 def _pack(batch: pa.RecordBatch | pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))) as w:
         w.write(batch)
     return sink.getvalue().to_pybytes()
 
@@ -95,8 +96,9 @@ def _blocks(batches, size: int):
 
 
 def _distinct(split: list[list[str]], buckets: int) -> tuple[list[str], np.ndarray]:
-    """A block's distinct words dealt to buckets, and where each bucket ends."""
-    words = list(dict.fromkeys(chain.from_iterable(split)))
+    """A block's distinct words dealt to buckets and sorted there (sorted lists
+    compress better), and where each bucket ends."""
+    words = sorted(set(chain.from_iterable(split)))
     own = np.fromiter((crc32(w.encode()) % buckets for w in words), np.int64, len(words))
     return [words[i] for i in np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=buckets))
 
@@ -113,7 +115,7 @@ def word_lists(docs: DataFrame, buckets: int = BUCKETS, block: int = BLOCK) -> D
         for name, t in _blocks(batches, block):
             words, ends = _distinct([marked_words(x or "") for x in t.column(1).to_pylist()], buckets)
             starts = np.concatenate([[0], ends[:-1]])
-            rows = [(name, k, _pack(pa.record_batch([pa.array(words[a:z], pa.string())], ["word"]))) for k, (a, z) in enumerate(zip(starts, ends)) if z > a]
+            rows = [(name, k, _pack(pa.record_batch([pa.array([" ".join(words[a:z])], pa.string())], ["words"]))) for k, (a, z) in enumerate(zip(starts, ends)) if z > a]
             if rows:
                 yield _parcels(rows)
 
@@ -136,7 +138,8 @@ def _both(m: Model):
 
 
 def segmented(lists: DataFrame, path: str) -> DataFrame:
-    """Word lists -> ids and decoded text (null: the word itself) of each word."""
+    """Word lists -> how many ids each word has, the ids, and the decoded texts
+    of the words that don't decode to themselves."""
 
     def run(batches):
         m = model(path)
@@ -145,13 +148,13 @@ def segmented(lists: DataFrame, path: str) -> DataFrame:
             for name, bucket, data in zip(*(c.to_pylist() for c in b.columns)):
                 if bucket != last:
                     table, last = WordTable(m, _both(m), TABLE), bucket
-                words = _unpack(data).column(0).to_pylist()
+                words = _unpack(data).column(0)[0].as_py().split(" ")  # no word holds a space
                 known = table.fill(words)
                 got = [known[w] for w in words]
-                ends = np.cumsum([0, *(len(x) >> 2 for x, _ in got)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([x for x, _ in got]), np.int32)))
-                plain = pa.array([None if y == w else y for w, (_, y) in zip(words, got)], pa.string())
-                yield _parcels([(name, bucket, _pack(pa.record_batch([ids, plain], ["ids", "decoded"])))])
+                ids = pa.array(np.frombuffer(b"".join([x for x, _ in got]), np.int32).astype(m.narrow))
+                odd = [k for k, (w, (_, y)) in enumerate(zip(words, got)) if y != w]
+                lists = [pa.array([len(x) >> 2 for x, _ in got], pa.int32()), ids, pa.array(odd, pa.int32()), pa.array([got[k][1] for k in odd], pa.string())]
+                yield _parcels([(name, bucket, _pack(pa.record_batch([pa.array([x.tolist()], pa.list_(x.type)) for x in lists], ["counts", "ids", "odd", "decoded"])))])
 
     return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PARCEL)
 
@@ -162,12 +165,13 @@ def _known(parcels: dict, split: list[list[str]], buckets: int, m: Model) -> dic
     known, a = {}, 0
     for k, z in enumerate(ends.tolist()):
         if z > a and k in parcels:
-            ids, decoded = _unpack(parcels[k]).combine_chunks().columns
-            ids = ids.chunk(0)
-            raw = ids.values.to_numpy().tobytes()
-            at = (ids.offsets.to_numpy() * 4).tolist()
-            for w, x, y, plain in zip(words[a:z], at, at[1:], decoded.to_pylist()):
-                known[w] = raw[x:y], w if plain is None else plain
+            counts, ids, odd, decoded = (c.chunk(0).values for c in _unpack(parcels[k]).columns)
+            raw = ids.to_numpy().astype(np.int32).tobytes()
+            at = (4 * np.concatenate([[0], np.cumsum(counts.to_numpy())])).tolist()
+            for w, x, y in zip(words[a:z], at, at[1:]):
+                known[w] = raw[x:y], w
+            for x, y in zip(odd.to_pylist(), decoded.to_pylist()):
+                known[words[a + x]] = known[words[a + x]][0], y
         elif z > a:
             known |= WordTable(m, _both(m), TABLE).fill(words[a:z])
         a = z
