@@ -427,7 +427,8 @@ def _knn_sql(where="true", k=8, least="-2"):
 
 
 def _asked(spark, sf):
-    return _vectors(spark, sf).where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    """The query set of searches: every id divisible by 20."""
+    return _vectors(spark, sf).where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
 
 
 @query(_knn_sql())
@@ -446,15 +447,18 @@ def knn_threshold(spark, sf):
 
 
 def _hits(spark, sf):
-    """Hits of two variants of each query in two collections."""
+    """Hits of two variants of each query in two collections: its vector, and
+    the same with every second component halved."""
     v = _vectors(spark, sf).select("vec_id", "embedding", F.when(F.col("label") % 2 == 0, "even").otherwise("odd").alias("collection"))
-    q = _vectors(spark, sf).where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    asked = _asked(spark, sf).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    halved = F.transform("embedding", lambda x, i: F.when(i % 2 == 1, x / 2).otherwise(x))
+    q = asked.select((F.col("query_id") * 2).alias("query_id"), "embedding").unionByName(asked.select((F.col("query_id") * 2 + 1).alias("query_id"), halved.alias("embedding")))
     out = None
     for c in ("even", "odd"):
         h = V.knn(q, v.where(F.col("collection") == c), 12).withColumn("collection", F.lit(c))
         out = h if out is None else out.unionByName(h)
-    k = F.col("query_id") % 50
-    return out.select((F.col("query_id") - k).alias("query_id"), (k / 25).cast("int").alias("variant_index"), F.concat(F.lit("variant "), (k / 25).cast("int").cast("string")).alias("variant"), "collection", F.col("collection").alias("source"), F.col("vec_id").cast("string").alias("chunk_id"), F.col("vec_id"), "score")
+    k = F.pmod("query_id", F.lit(2)).cast("int")
+    return out.select(F.shiftright("query_id", 1).alias("query_id"), k.alias("variant_index"), F.concat(F.lit("variant "), k.cast("string")).alias("variant"), "collection", F.col("collection").alias("source"), F.col("vec_id").cast("string").alias("chunk_id"), F.col("vec_id"), "score")
 
 
 _HITS = f"""WITH s AS (SELECT q.vec_id - q.vec_id % 50 AS query_id, (q.vec_id % 50 / 25)::INT AS variant_index, CASE WHEN v.label % 2 = 0 THEN 'even' ELSE 'odd' END AS collection, v.vec_id, round({_DOTS}, 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 25 = 0),
