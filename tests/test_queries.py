@@ -46,3 +46,15 @@ def test_hits_have_two_variants_of_every_twentieth_id(spark, sf_dir, db, name):
 @pytest.mark.parametrize("name", ["hybrid_results", "diverse_context", "prompts", "cited_answers"])
 def test_results_answer_every_twentieth_id(spark, sf_dir, name):
     assert {r.query_id for r in QUERIES[name](spark, sf_dir).select("query_id").collect()} == set(range(0, 500, 20))
+
+
+@pytest.mark.parametrize("name", ["document_hash", "document_totals"])
+def test_documents_are_hashed_whole(spark, sf_dir, db, name):
+    same(spark, sf_dir, db, name, (" WHERE doc_id % 11 <> 0", ""))
+    column = "total_chunks" if name == "document_hash" else "chunks"
+    assert QUERIES[name](spark, sf_dir).selectExpr(f"sum({column})").first()[0] == db.execute("SELECT count(*) FROM documents").fetchone()[0]
+
+
+@pytest.mark.parametrize("name", ["manifest_documents", "manifest_chunks", "index_summary"])
+def test_manifests_still_see_deleted_rows(spark, sf_dir, db, name):
+    same(spark, sf_dir, db, name)
