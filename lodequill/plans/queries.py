@@ -108,7 +108,7 @@ def scalar_functions(spark, sf):
     i = F.col("doc_id").cast("string")
     url = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("http://x/index?bookId=1&pageNo="), i))
     file = F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("book/page-"), (F.col("doc_id") + 1).cast("string"), F.lit(".md"))).otherwise(F.lit("none"))
-    return docs(spark, sf).select("doc_id", T.vector_id(i).alias("vector_id"), T.reading_minutes(F.col("n_chars")).alias("minutes"), T.half_up((F.col("n_chars") - 3000) / 4.0).alias("rounded"), T.html_escape(F.substring("text", 1, 60)).alias("escaped"), T.page_number(url, file).alias("page"))
+    return docs(spark, sf).select("doc_id", T.vector_id(i).alias("vector_id"), T.reading_minutes(F.col("n_chars")).alias("minutes"), T.half_up((F.col("n_chars") - 3000) / 4.0).alias("rounded"), T.html_escape(F.col("text")).alias("escaped"), T.page_number(url, file).alias("page"))
 
 
 _ERRORS = ("Rate limit exceeded", "request timed out", "maximum context length", "failed to serialize", "server error", "odd")
@@ -509,7 +509,7 @@ def hybrid_results(spark, sf):
 
 @query()
 def query_plans(spark, sf):
-    q = t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.concat(F.lit("23. "), F.substring("text", 1, 40)).alias("question"))
+    q = t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.concat(F.lit("23. "), "text").alias("question"))
     return R.plan_queries(q)
 
 
@@ -664,7 +664,7 @@ def _service(spark, sf):
 
 
 def _request(spark, sf):
-    q = t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 200).alias("question"))
+    q = t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     return service.Request(q, 5, 0.05)
 
 

@@ -3,6 +3,8 @@
 import duckdb
 import pytest
 
+from lodequill.functions import unicode
+from lodequill.plans import queries
 from lodequill.plans.queries import ORACLE, QUERIES
 
 
@@ -58,3 +60,18 @@ def test_documents_are_hashed_whole(spark, sf_dir, db, name):
 @pytest.mark.parametrize("name", ["manifest_documents", "manifest_chunks", "index_summary"])
 def test_manifests_still_see_deleted_rows(spark, sf_dir, db, name):
     same(spark, sf_dir, db, name)
+
+
+def test_texts_are_escaped_whole(spark, sf_dir, db):
+    same(spark, sf_dir, db, "scalar_functions", ("substr(text, 1, 60)", "text"))
+
+
+def test_questions_are_whole(spark, sf_dir, db):
+    texts = dict(db.execute("SELECT item_id, text FROM benchmark").fetchall())
+    assert max(map(len, texts.values())) > 200
+    assert {r.query_id: r.question for r in queries._request(spark, sf_dir).questions.collect()} == texts
+    got = {r.query_id: r for r in QUERIES["query_plans"](spark, sf_dir).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        want = unicode.understand(f"23. {text}".strip())
+        assert got[i].original_query == want["original_query"] and got[i].expanded_queries == want["expanded_queries"] and [e.value for e in got[i].detected_entities] == [e["value"] for e in want["detected_entities"]]
