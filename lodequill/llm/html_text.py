@@ -43,21 +43,34 @@ _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 _SIBLING_SCOPE = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("table", "tr")), "th": frozenset(("table", "tr")), "option": frozenset(("select",))}
 _DROPPED = frozenset("nav header footer aside form script style noscript template iframe svg math canvas object audio video select button input textarea dialog menu search head map".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|adslot|banner|promo\w*|sponsor\w*|sidebar|widget|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|"
-    r"cookies?|consent|gdpr|notice|newsletter|subscribe|subscription|popup|modal|overlay|comments?|disqus|respond|repl(?:y|ies)|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|login|signup|search|skip-?link)(?=$|[\s_-])",
-    re.I,
-)
+_NAME = r"(?:ad|ads|advert\w*|adsense|adslot|banner|promo\w*|sponsor\w*|sidebar|widget|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notice|newsletter|subscribe|subscription|popup|modal|overlay|comments?|disqus|respond|repl(?:y|ies)|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|login|signup|search|skip-?link)"
+_PLAIN = r"(?:box|wrap|wrapper|container|inner|outer|block|area|bar|section|list|item|items|links?|buttons?|icons?|form|slot|unit|top|bottom|left|right|posts?|articles?|stories|thread|\d+(?:x\d+)?)"
+_NAMES = re.compile(rf"(?:^|[\s_-]){_NAME}(?=$|[\s_-])", re.I)
+# A whole class or id of such names; words that only say where or what kind of box may stand beside them.
+_WHOLE = re.compile(rf"(?:{_PLAIN}[_-]+)*{_NAME}(?:[_-]+(?:{_NAME}|{_PLAIN}))*", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOXES = frozenset("div section ul ol dl table details fieldset figure center span".split())
+
+
+def _named(name: str, key: str, value: str, inside: bool) -> bool:
+    """Whether a class or id names boilerplate. Ids inside an article are often
+    made from its headings, so only whole names count there, ids only of boxes,
+    and headings are never dropped by one."""
+    if not inside:
+        return bool(_NAMES.search(value))
+    if name in _HEADINGS or key == "id" and name not in _BOXES:
+        return False
+    return any(_WHOLE.fullmatch(x) for x in value.split())
 
 
-def _unwanted(name: str, attrs: str) -> bool:
+def _unwanted(name: str, attrs: str, inside: bool = False) -> bool:
     if name in _DROPPED:
         return True
     if not attrs or attrs.isspace() or name in ("html", "body", "article", "main"):
         return False
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), next((v for v in values if v), "")
-        if key in ("class", "id") and _NAMES.search(value) or key == "role" and value.lower() in _ROLES:
+        if key in ("class", "id") and _named(name, key, value, inside) or key == "role" and value.lower() in _ROLES:
             return True
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
@@ -146,7 +159,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             continue
         if name in _VOID or attrs and attrs.endswith("/") and name not in _BLOCKS:
             continue
-        drop, inner = _unwanted(name, attrs or ""), 0
+        drop, inner = _unwanted(name, attrs or "", region > 0), 0
         if name in ("article", "main") and not dropped:
             regions += 1
             region = inner = regions

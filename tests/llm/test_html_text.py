@@ -37,6 +37,17 @@ def test_edges():
     assert main_text("<a '" * 3000) != None  # noqa: E711
 
 
+def test_names_inside_an_article_drop_boxes_only():
+    kept = ['<h2 id="related-work">a b</h2>', '<section id="social-policy">a b</section>', '<p class="notice-period">a b</p>', '<h3 id="menu">a b</h3>', '<p id="search">a b</p>', '<h1 class="header">a b</h1>', '<div class="menu-planning">a b</div>', '<dl><dt id="search">a b</dt></dl>']
+    gone = ["<div class=ad>no</div>", "<div class='x cookie-notice'>no</div>", "<section id=comments>no</section>", "<div class=related-posts>no</div>", "<div class='ad-300x250'>no</div>", "<p class=ad>no</p>", "<ul class=share-buttons><li>no</ul>"]
+    for tag in ("article", "main"):
+        for x in kept:
+            assert main_text(f"<{tag}><p>one</p>{x}<p>two</p></{tag}>") == "one\n\na b\n\ntwo", x
+        for x in gone:
+            assert main_text(f"<{tag}><p>one</p>{x}<p>two</p></{tag}>") == "one\n\ntwo", x
+    assert main_text("<div class='social-policy'>no</div><article>one</article>") == "one"
+
+
 def test_query_against_plain_patterns(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {r.page_id: (r.url, brute(r.html)) for r in pages.collect()}
