@@ -6,9 +6,11 @@ reader comments give no line. Text lengths are summed over windows of `window`
 lines. Where the sum is largest lies the main text; it starts at the surge
 before that point and ends at the dive after it. Two refinements keep short
 lines of an article: lines that are mostly links count as empty, and where the
-densest window lies inside an <article> or <main> element the surge and the
-dive are that element's first and last line (plain surge and dive points lose
-titles and one-line closings, which the result must hold).
+densest window lies inside an <article> or <main> element, all lines of the
+outermost article around it stay, or of the main where no article holds it
+(plain surge and dive points lose titles and one-line closings, which the result
+must hold). From such an article the surge and the dive are sought up to the
+ends of the main around it, or of the articles beside it in the same element.
 
 Defined results: a null or empty html, or a page without such text, gives an
 empty text of 0 characters. Character references are decoded once, white space
@@ -77,13 +79,15 @@ def _unwanted(name: str, attrs: str, inside: bool = False) -> bool:
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, int]]:
+def lines(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(text, characters inside links, number of the article or main element
-    around it or 0) for each block of text that isn't dropped."""
+    around it or 0) for each block of text that isn't dropped, and of each such
+    element the name, the number of the one around it and its parent element."""
     out: list[tuple[str, int, int]] = []
+    regions = [("", 0, 0)]
     parts: list[str] = []
-    stack: list[tuple[str, bool, int, bool]] = []  # name, dropped here, region, link
-    regions, linked, pos, n = 0, 0, 0, len(page)
+    stack: list[tuple[str, bool, int, bool, int]] = []  # name, dropped here, region, link, serial number
+    linked, pos, n, serial = 0, 0, len(page), 0
     dropped = region = links = 0
 
     def flush():
@@ -96,7 +100,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
 
     def pop():
         nonlocal dropped, region, links
-        name, drop, inner, link = stack.pop()
+        name, drop, inner, link, _ = stack.pop()
         if name in _BLOCKS:
             flush()
         dropped -= drop
@@ -161,19 +165,20 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             continue
         drop, inner = _unwanted(name, attrs or "", region > 0), 0
         if name in ("article", "main") and not dropped:
-            regions += 1
-            region = inner = regions
+            regions.append((name, region, stack[-1][4] if stack else 0))
+            region = inner = len(regions) - 1
         dropped += drop
         links += name == "a"
-        stack.append((name, drop, inner, name == "a"))
+        serial += 1
+        stack.append((name, drop, inner, name == "a", serial))
     while stack:
         pop()
     flush()
-    return out
+    return out, regions
 
 
 def main_text(page: str | None, window: int = WINDOW) -> str:
-    found = lines(page) if page else []
+    found, regions = lines(page) if page else ([], [])
     if not found:
         return ""
     length = [0 if 2 * linked > len(text) else len(text) for text, linked, _ in found]
@@ -184,14 +189,22 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
         total += (length[i + window] if i + window < len(length) else 0) - length[i]
     peak = max(range(len(sums)), key=lambda i: (sums[i], -i))
     core = max(range(peak, min(len(found), peak + window)), key=lambda i: (length[i], -i))
-    region = found[core][2]
-    if region:  # lines of elements inside it have higher numbers
-        inside = [i for i, x in enumerate(found) if x[2] == region]
-        return "\n\n".join(x[0] for x in found[inside[0] : inside[-1] + 1])
-    first = last = core
-    while first and (length[first - 1] or any(length[max(0, first - window) : first - 1])):
+    chains = [()]  # of each region, from the outermost to itself
+    for k, (_, around, _) in enumerate(regions[1:], 1):
+        chains.append((*chains[around], k))
+    article = [next((k for k in c if regions[k][0] == "article"), 0) for c in chains]  # the outermost
+    own, first, last, low, high = chains[found[core][2]], core, core, 0, len(found) - 1
+    if own:
+        if top := article[own[-1]]:
+            inside = [i for i, x in enumerate(found) if article[x[2]] == top]
+            kin = [i for i, x in enumerate(found) if article[x[2]] and regions[article[x[2]]][1:] == regions[top][1:]]
+        else:
+            inside = kin = [i for i, x in enumerate(found) if own[0] in chains[x[2]]]
+        main = [i for i, x in enumerate(found) if own[0] in chains[x[2]]] if own[0] != top else kin
+        first, last, low, high = inside[0], inside[-1], min(kin[0], main[0]), max(kin[-1], main[-1])
+    while first > low and (length[first - 1] or any(length[max(low, first - window) : first - 1])):
         first -= 1
-    while last + 1 < len(found) and (length[last + 1] or any(length[last + 2 : last + 1 + window])):
+    while last < high and (length[last + 1] or any(length[last + 2 : min(high + 1, last + 1 + window)])):
         last += 1
     return "\n\n".join(x[0] for x in found[first : last + 1])
 

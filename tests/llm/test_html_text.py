@@ -48,6 +48,19 @@ def test_names_inside_an_article_drop_boxes_only():
     assert main_text("<div class='social-policy'>no</div><article>one</article>") == "one"
 
 
+def test_nested_and_split_articles_are_whole():
+    long, links = "word " * 80, "<p><a href=x>a link</a></p>" * 4
+    body = long.strip()
+    whole = lambda *x: "\n\n".join(x)
+    assert main_text(f"<p>out</p><main><h1>Title</h1><p>lead</p><article>{long}</article><p>end</p></main><p>out</p>") == whole("Title", "lead", body, "end")
+    assert main_text(f"<article><h1>T</h1><p>before</p><article>{long}</article><p>after</p></article><p>out</p>") == whole("T", "before", body, "after")
+    assert main_text(f"<div><article><p>one</p></article><article>{long}</article><article>three</article></div><p>out</p>") == whole("one", body, "three")
+    assert main_text(f"<main>{links}<article><h1>T</h1>{links}<p>{long}</article>{links}<p>far</p></main>") == whole("T", *["a link"] * 4, body)
+    assert main_text(f"<main><p>lead</p><article><h2>A</h2><p>part</p></article><article>{long}</article></main>") == whole("lead", "A", "part", body)
+    assert main_text(f"<main><h1>T</h1>{links}<p>{long}</p><article>x</article></main>") == whole("T", *["a link"] * 4, body, "x")
+    assert main_text(f"<div><article>card</article></div><div><article>{long}</article></div>") == body
+
+
 def test_query_against_plain_patterns(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {r.page_id: (r.url, brute(r.html)) for r in pages.collect()}
