@@ -52,8 +52,10 @@ def short_hash(text: Column) -> Column:
     return F.substring(F.sha2(text.cast("binary"), 256), 1, 16)
 
 
-def similarity_tokens(text: Column, most: int = 8000) -> Column:
-    return F.slice(F.regexp_extract_all(turkish_lower(text), F.lit(SIMILARITY_WORD), F.lit(0)), 1, most)
+def similarity_tokens(text: Column, most: int = 8000, form=lambda lower: lower) -> Column:
+    """`form` is applied to the lower-case text; `unicode.nfkc` gives the
+    tokens of `unicode.similarity_tokens`."""
+    return F.slice(F.regexp_extract_all(form(turkish_lower(text)), F.lit(SIMILARITY_WORD), F.lit(0)), 1, most)
 
 
 def duplicate_percentage(tokens: Column) -> Column:

@@ -93,7 +93,7 @@ def excerpts(spark, sf):
 
 @query(f"SELECT doc_id, len({TOKENS}) AS tokens, CASE WHEN len({TOKENS}) > 0 THEN round((len({TOKENS}) - len(list_distinct({TOKENS}))) * 100.0::DOUBLE / len({TOKENS}), 6) ELSE 0 END AS duplicate_percentage FROM documents")
 def duplicate_tokens(spark, sf):
-    k = T.similarity_tokens(F.col("text"))
+    k = T.similarity_tokens(F.col("text"), form=U.nfkc)
     return docs(spark, sf).select("doc_id", F.size(k).alias("tokens"), F.round(T.duplicate_percentage(k), 6).alias("duplicate_percentage"))
 
 
@@ -238,17 +238,17 @@ _HASHED = f"""(WITH f AS (SELECT doc_id, token, count(*) AS n, ('0x' || substr(s
 
 @query(f"SELECT doc_id, token, count(*) AS n FROM ({_SIM}) GROUP BY doc_id, token")
 def token_frequency(spark, sf):
-    return N.token_frequency(docs(spark, sf), T.similarity_tokens(F.col("text")), "doc_id")
+    return N.token_frequency(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id")
 
 
 @query(f"SELECT doc_id, lpad(lower(to_hex(simhash)), 16, '0') AS simhash FROM {_HASHED}")
 def simhash(spark, sf):
-    return N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text")), "doc_id").select("doc_id", N.simhash_hex(F.col("simhash")).alias("simhash"))
+    return N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id").select("doc_id", N.simhash_hex(F.col("simhash")).alias("simhash"))
 
 
 @query(f"WITH c AS (SELECT simhash, min(doc_id) AS id FROM {_HASHED} GROUP BY simhash) SELECT x.id AS a, y.id AS b, bit_count(xor(x.simhash, y.simhash))::INT AS distance FROM c x JOIN c y ON x.id < y.id AND bit_count(xor(x.simhash, y.simhash)) <= 3")
 def near_dup_pairs(spark, sf):
-    return N.near_pairs(N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text")), "doc_id"), "doc_id")
+    return N.near_pairs(N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
 
 
 @query("SELECT sha256(text) AS content_hash, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")

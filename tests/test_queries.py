@@ -1,5 +1,9 @@
 """Registered queries against SQL over all that they have to read."""
 
+import hashlib
+import unicodedata
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -75,3 +79,34 @@ def test_questions_are_whole(spark, sf_dir, db):
     for i, text in texts.items():
         want = unicode.understand(f"23. {text}".strip())
         assert got[i].original_query == want["original_query"] and got[i].expanded_queries == want["expanded_queries"] and [e.value for e in got[i].detected_entities] == [e["value"] for e in want["detected_entities"]]
+
+
+@pytest.mark.parametrize("name", ["token_frequency", "simhash", "near_dup_pairs", "duplicate_tokens"])
+def test_tokens_without_other_forms_agree_with_sql(spark, sf_dir, db, name):
+    same(spark, sf_dir, db, name)
+
+
+def test_tokens_are_compatibility_composed(spark, tmp_path):
+    plain = "Café İstanbul ışık naïve résumé ABC123 ürün " * 3 + "tail"
+    wide = "".join(chr(ord(c) + 0xFEE0) if "a" <= c <= "z" or "0" <= c <= "9" else c for c in plain)
+    texts = {1: plain, 2: "".join(c if c in "İ" else unicodedata.normalize("NFD", c) for c in plain), 3: wide, 4: "ﬁne ℐmage ②③④ ½½½ x", 5: ""}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = {i: unicode.similarity_tokens(x) for i, x in texts.items()}
+
+    def brute(own):
+        votes = [0] * 64
+        for w, n in Counter(own).items():
+            bits = int(hashlib.sha256(w.encode()).hexdigest()[:16], 16)
+            for k in range(64):
+                votes[k] += n if bits >> k & 1 else -n
+        return f"{sum(1 << k for k in range(64) if votes[k] >= 0):016x}"
+
+    got = lambda name: sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()))
+    hashes = {i: brute(x) for i, x in tokens.items()}
+    assert tokens[1] == tokens[2] == tokens[3]
+    assert got("token_frequency") == sorted((i, w, n) for i, x in tokens.items() for w, n in Counter(x).items())
+    assert got("simhash") == sorted(hashes.items())
+    first = {h: i for i, h in reversed(hashes.items())}
+    near = [(i, j, d) for h, i in first.items() for g, j in first.items() if i < j and (d := (int(h, 16) ^ int(g, 16)).bit_count()) <= 3]
+    assert got("near_dup_pairs") == sorted(near)
+    assert [r[:2] for r in got("duplicate_tokens")] == [(i, len(x)) for i, x in tokens.items()]
