@@ -64,23 +64,37 @@ def plan_revisits(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFra
     return keyed.join(groups, "k", "left").select("page_id", "url", "html", refers.alias("refers_to"))
 
 
-def record_chunks(page_id, url, payload: bytes, refers_to, when: str, chunk: int = CHUNK):
+def _parts(payload: bytes | str, chunk: int):
+    """The payload's bytes in parts of at most `chunk` (or a code point); a text
+    is encoded part by part."""
+    if isinstance(payload, str):
+        step = max(1, chunk // 4)
+        for i in range(0, len(payload), step):
+            yield payload[i : i + step].encode()
+    else:
+        view = memoryview(payload)
+        for i in range(0, len(view), chunk):
+            yield view[i : i + chunk]
+
+
+def record_chunks(page_id, url, payload: bytes | str, refers_to, when: str, chunk: int = CHUNK):
     """The bytes of one record, chunk by chunk. The header needs the digest, so
     a first pass over the chunks carries it and a second one emits them."""
-    view, digest = memoryview(payload), hashlib.sha1()
-    for i in range(0, len(view), chunk):
-        digest.update(view[i : i + chunk])
+    digest, whole = hashlib.sha1(), 0
+    for part in _parts(payload, chunk):
+        digest.update(part)
+        whole += len(part)
     number = "none" if page_id is None else str(page_id)
-    size = 0 if refers_to is not None else len(view)
+    size = 0 if refers_to is not None else whole
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{number}>", f"WARC-Date: {when}"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m[0]):02X}", url))
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(digest.digest()).decode()}", f"X-Payload-Length: {len(view)}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size}"]
+    head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(digest.digest()).decode()}", f"X-Payload-Length: {whole}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size}"]
     yield "\r\n".join(head).encode() + EOR
-    for i in range(0, size, chunk):
-        yield view[i : i + chunk]
+    if size:
+        yield from _parts(payload, chunk)
     yield EOR
 
 
@@ -100,7 +114,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, chunk: int = CHU
                         store.create_dir(root, recursive=True)
                         out = store.open_output_stream(name, compression=None, buffer_size=1 << 20)
                     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    for part in record_chunks(page_id, url, page.encode(), refers, when, chunk):
+                    for part in record_chunks(page_id, url, page, refers, when, chunk):
                         out.write(pack.compress(part))
                     out.write(pack.flush())
                     size = out.tell()
@@ -212,7 +226,7 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK, wi
 def archived(pages: DataFrame) -> DataFrame:
     """Write pages, read the archives back, one row for each record."""
     spark = pages.sparkSession
-    back = read_chunks(spark, write_archives(pages), with_data=False)
+    back = read_chunks(spark, write_archives(pages))  # a row for each chunk, reduced to a record's last
     return back.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -29,3 +29,28 @@ def test_archives(spark):
     assert sorted(r.url or "" for r in read_chunks(spark, write_archives(df)).where("last").collect()) == sorted(r[1] or "" for r in rows)
     assert archived(df.limit(0)).count() == 0
     assert plan_revisits(df).count() == len(rows)
+
+
+class Long(str):
+    def encode(self, *_):
+        raise AssertionError("encoded whole")
+
+
+def test_texts_are_encoded_chunk_by_chunk():
+    text = "aé€😀" * 500
+    for refers in (None, 3):
+        parts = [bytes(c) for c in record_chunks(1, "u", Long(text), refers, "w", 64)]
+        assert b"".join(parts) == b"".join(bytes(c) for c in record_chunks(1, "u", text.encode(), refers, "w", 64))
+        assert all(len(c) <= 64 for c in parts[1:])
+
+
+def test_archived_reads_chunk_rows(spark, monkeypatch):
+    from lodequill.llm import warc
+
+    seen = []
+    monkeypatch.setattr(warc, "read_chunks", lambda *a, f=read_chunks, **k: seen.append(f(*a, **k)) or seen[-1])
+    text = "z" * 300_000
+    got = archived(spark.createDataFrame([(1, "u", text)], "page_id long, url string, html string")).collect()
+    assert [(r.payload_bytes, r.payload_digest) for r in got] == [(300_000, hashlib.sha1(text.encode()).hexdigest())]
+    rows = sorted(seen[0].collect(), key=lambda r: r.chunk_no)
+    assert len(rows) >= 300_000 // warc.CHUNK and b"".join(r.data for r in rows) == text.encode()
