@@ -97,7 +97,8 @@ UNMARK_STEPS = (
 
 
 def plain_text(markdown: Column) -> Column:
-    return F.regexp_replace(_chain(markdown, PLAIN_STEPS), r"^\s+|\s+$", "")
+    steps = [(pattern.replace(r"\s", SPACE), to) for pattern, to in PLAIN_STEPS]
+    return F.regexp_replace(_chain(markdown, steps), rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def unmark(markdown: Column) -> Column:

@@ -60,6 +60,17 @@ def test_expressions_match_python(spark):
         assert g.n == tokens.default_counter(t) and g.l == unicode.tr_lower(t) and g.s == " ".join(t.split())
 
 
+def test_plain_text_matches_python_on_wide_spaces(spark):
+    r = random.Random(2)
+    rows = [(i, "".join(r.choice("ab1 .,;Iİı\n#-*_é[]()!>\u00a0\u2003\u3000") for _ in range(r.randrange(0, 80)))) for i in range(300)]
+    rows += [(300, "#\u00a0Head\n-\u00a0item\n>\u00a0quote\u00a0"), (301, "\u00a0\u00a0edge\u00a0")]
+    from lodequill.operators.chunking import plain_text
+
+    got = {g.id: g.p for g in spark.createDataFrame(rows, "id long, t string").select("id", text.plain_text(F.col("t")).alias("p")).collect()}
+    assert got == {i: plain_text(t) for i, t in rows}
+    assert got[300] == "Head\nitem\nquote" and got[301] == "edge"
+
+
 def test_scalars(spark):
     one = spark.range(1)
     row = one.select(
