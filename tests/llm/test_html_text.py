@@ -75,3 +75,23 @@ def test_rows(spark):
     got = extract(df).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, len(main_text(PAGE)))] + [(1, len(main_text(PAGE)))]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_pages_without_articles_against_plain_patterns(spark, sf_dir):
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        plain = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert main_text(plain) == brute(r.html)
+
+
+def test_headings_of_an_articles_header_stay():
+    assert main_text("<header><h1>Site</h1></header><article><header><h1>Title</h1><p>by me</p><nav>x</nav></header><p>text</p></article>") == "Title\n\ntext"
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    n = 1_000_000
+    for page in ("<a " * (n // 3), "<a '" * (n // 4), '<a ">"' * (n // 6), "<b>" * (n // 8) + "</i>" * (n // 8), "<p><td>" + "<h1>" * (n // 4), "<article>x" * (n // 10), "<li>x" * (n // 5), "<!--" * (n // 4), '<a x="' * (n // 6) + ">"):
+        start = time.process_time()
+        main_text(page)
+        assert time.process_time() - start < 20, page[:10]  # a quadratic scan takes hours
