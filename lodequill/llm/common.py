@@ -7,7 +7,13 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+HOT = 1024  # rows of a key that stay in one task
+BROADCAST_KEYS = 1 << 18  # hot keys that may be broadcast
+SALTS = 64  # of hot keys that are too many for it
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,13 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a
-    temporary one where the session has none (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where
+    the session has none and all tasks run on this machine (local tests), it is
+    a temporary one; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jdir.get() if jdir.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lodequill-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -39,6 +48,51 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hot_join(left: DataFrame, right: DataFrame, on: str | list[str], rows: str | None = None, spread: Column | None = None, how: str = "inner", hot: int = HOT, most: int = BROADCAST_KEYS) -> DataFrame:
+    """left join right on `on`, where right has one row a key and a key may have
+    any share of left's rows. `rows` names the column of right with that number
+    (it is dropped); without it left's rows are counted, combined map-side.
+
+    The right row of a key with more than `hot` rows is repeated, once for each
+    `hot` rows, and left's rows are dealt to the copies by a hash of `spread`
+    (a column of left) or, without one, by the input task. Hot keys are at most
+    rows / hot. They are broadcast while a count shows that they are `most` at
+    most; beyond it both sides are salted alike and shuffled. Null keys match
+    nothing and must not be in left: their rows would meet in one task."""
+    on = [on] if isinstance(on, str) else on
+    if rows is None:
+        rows, found = "_rows", left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot)
+        heavy = cut(found, "hot-keys")
+    else:
+        heavy = right.where(F.col(rows) > hot).select(*on, rows)
+        right = right.drop(rows)
+    n = heavy.count()
+    if not n:
+        return left.join(right, on, how)
+    dice = F.xxhash64(spread) if spread is not None else F.xxhash64(F.spark_partition_id())
+    if n <= most:
+        parts = F.least(F.ceil(F.col(rows) / hot), F.lit(1 << 16)).cast("int")
+        copies = F.broadcast(heavy.select(*on, parts.alias("_parts")))
+        salted = left.join(copies, on, "left").withColumn("_salt", F.when(F.col("_parts").isNotNull(), F.pmod(dice, F.col("_parts"))).otherwise(F.lit(0)).cast("int")).drop("_parts")
+        other = right.join(copies, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    else:
+        salted = left.withColumn("_salt", F.pmod(dice, F.lit(SALTS)).cast("int"))
+        other = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(other, [*on, "_salt"], how).drop("_salt")
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """A 64-bit hash of all columns; types that can't be hashed (maps) are
+    taken as strings."""
+
+    def plain(t) -> bool:
+        if isinstance(t, T.StructType):
+            return all(plain(f.dataType) for f in t.fields)
+        return plain(t.elementType) if isinstance(t, T.ArrayType) else not isinstance(t, (T.MapType, T.VariantType))
+
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{f.name}`") if plain(f.dataType) else F.col(f"`{f.name}`").cast("string") for f in df.schema.fields])
+
+
 def arrow_limits(spark: SparkSession, rows: int = 1000, mb: int = 8) -> None:
     """Bound what one Arrow batch brings into a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
