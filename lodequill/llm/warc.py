@@ -1,17 +1,23 @@
 """WARC archives through a table of chunked records.
 
-Records move as rows (record id, chunk number, bytes) of at most `chunk` bytes,
-never as one payload beside its source value: writers append chunk after chunk
-to a file while a SHA-1 and a SHA-256 are carried from chunk to chunk, and
-readers hold one block of a file at a time, carry the digest in the same way
-and give a row for each chunk. Each record is a gzip member of its own.
+Pages become rows (record id, chunk number, bytes) of at most `chunk` bytes in
+the JVM, before anything is shuffled, sorted or handed to Python; no later step
+holds a whole payload. A writer takes a record's rows in order, appends them to
+a file and carries a SHA-1 from chunk to chunk, which must end at the digest
+that the header announced. Readers hold one block of a file at a time, carry the
+digest in the same way and give a row for each chunk. Each record is a gzip
+member of its own.
 
 Among records whose payloads are equal and at least `revisit_from` bytes long,
 the one with the largest page_id is a response and the others revisit it.
 Payloads are compared by SHA-256 and length (SHA-1, which WARC digests use,
-has known collisions). A group's winner is an aggregate with map-side combining
-and only groups of two or more are joined back, so a payload that a third of
-all pages share is one row on that side; adaptive execution splits the other.
+has known collisions). A group's winner is an aggregate with map-side combining.
+Chunk rows meet it by digest; those of a payload that many pages share are dealt
+to several tasks by record, smaller payloads have a key of their own.
+
+A record's id is a UUID, so that ids are unique whatever page_ids are. Page
+numbers stand in headers of their own (X-Page-ID, X-Refers-To-Page), beside the
+standard's WARC-Refers-To-Target-URI.
 
 Every write attempt makes a file of its own name and the manifest lists the
 files of the attempts that Spark committed, so retries and lost executors leave
@@ -37,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, cut, shared_path
+from .common import arrow_limits, cut, hot_join, shared_path
 
 CHUNK, REVISIT_FROM = 1 << 16, 1000
 MANIFEST = "path string, n_records long, n_bytes long"
@@ -54,14 +60,29 @@ def _filesystem(path: str):
     return fs.LocalFileSystem(), path
 
 
+def chunk_table(pages: DataFrame, chunk: int = CHUNK, revisit_from: int = REVISIT_FROM) -> DataFrame:
+    """rid, chunk_no, page_id, url, payload_bytes, payload_digest, refers_to,
+    refers_url, data: a row for each chunk of a response, and one without data
+    for each revisit."""
+    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("body")).withColumn("n", F.octet_length("body"))
+    large = F.when(F.col("n") >= revisit_from, F.unhex(F.sha2("body", 256)))
+    winner = F.max(F.struct("page_id", "url"))
+    groups = rows.where(F.col("n") >= revisit_from).groupBy(large.alias("k"), F.col("n").alias("n2")).agg(winner.alias("top"), F.count(F.lit(1)).alias("rows"))
+    groups = cut(groups.where("rows > 1 AND top.page_id IS NOT NULL").select("k", "n2", F.col("top.page_id").alias("top"), F.col("top.url").alias("top_url"), "rows"), "warc-groups")
+    parts = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / chunk).cast("int"), F.lit(1)) - 1), lambda i: F.substring("body", i * chunk + 1, F.lit(chunk)))
+    named = rows.select(F.monotonically_increasing_id().alias("rid"), "page_id", "url", "n", F.sha1("body").alias("payload_digest"), large.alias("k"), parts.alias("parts"))
+    own_key = F.coalesce("k", F.encode(F.col("rid").cast("string"), "UTF-8")).alias("k")  # null keys would meet in one task
+    chunks = named.select("rid", "page_id", "url", "n", "payload_digest", own_key, F.posexplode("parts").alias("chunk_no", "data"))
+    joined = hot_join(chunks, groups, "k", "rows", F.col("rid"), "left")
+    again = (F.col("n") == F.col("n2")) & ~F.col("page_id").eqNullSafe(F.col("top"))
+    out = joined.select("rid", "chunk_no", "page_id", "url", F.col("n").cast("long").alias("payload_bytes"), "payload_digest", F.when(again, F.col("top")).alias("refers_to"), F.when(again, F.col("top_url")).alias("refers_url"), "data")
+    return out.where("refers_to IS NULL OR chunk_no = 0").withColumn("data", F.when(F.col("refers_to").isNull(), F.col("data")))
+
+
 def plan_revisits(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
-    """page_id, url, html with the record's type and the page it refers to."""
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    keyed = rows.withColumn("n", F.octet_length("html")).withColumn("k", F.when(F.col("n") >= revisit_from, F.unhex(F.sha2(payload, 256))))
-    groups = keyed.where("k IS NOT NULL").groupBy("k", "n").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("m")).where("m > 1 AND top IS NOT NULL").select("k", F.col("n").alias("n2"), "top")
-    refers = F.when((F.col("n") == F.col("n2")) & ~F.col("page_id").eqNullSafe(F.col("top")), F.col("top"))
-    return keyed.join(groups, "k", "left").select("page_id", "url", "html", refers.alias("refers_to"))
+    """page_id, url and the page it refers to, of each record."""
+    return chunk_table(pages, revisit_from=revisit_from).where("chunk_no = 0").select("page_id", "url", "refers_to")
 
 
 def _parts(payload: bytes | str, chunk: int):
@@ -77,27 +98,70 @@ def _parts(payload: bytes | str, chunk: int):
             yield view[i : i + chunk]
 
 
-def record_chunks(page_id, url, payload: bytes | str, refers_to, when: str, chunk: int = CHUNK):
-    """The bytes of one record, chunk by chunk. The header needs the digest, so
-    a first pass over the chunks carries it and a second one emits them."""
+def _header(record_id: str, page_id, url, size: int, sha1: bytes, refers_to, refers_url, when: str) -> bytes:
+    target = lambda u: re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m[0]):02X}", u)
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id}", f"WARC-Date: {when}"]
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
+    if url is not None:
+        head.append("WARC-Target-URI: " + target(url))
+    if refers_to is not None:
+        head += [f"X-Refers-To-Page: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        if refers_url is not None:
+            head.append("WARC-Refers-To-Target-URI: " + target(refers_url))
+    head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(sha1).decode()}", f"X-Payload-Length: {size}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size if refers_to is None else 0}"]
+    return "\r\n".join(head).encode() + EOR
+
+
+def record_chunks(page_id, url, payload: bytes | str, refers_to, when: str, chunk: int = CHUNK, refers_url=None, record_id: str | None = None):
+    """The bytes of one record of a payload at hand, chunk by chunk. The header
+    needs the digest, so a first pass over the chunks carries it and a second
+    one emits them."""
     digest, whole = hashlib.sha1(), 0
     for part in _parts(payload, chunk):
         digest.update(part)
         whole += len(part)
-    number = "none" if page_id is None else str(page_id)
-    size = 0 if refers_to is not None else whole
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{number}>", f"WARC-Date: {when}"]
-    if url is not None:
-        head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m[0]):02X}", url))
-    if refers_to is not None:
-        head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(digest.digest()).decode()}", f"X-Payload-Length: {whole}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size}"]
-    yield "\r\n".join(head).encode() + EOR
-    if size:
+    yield _header(record_id or f"<urn:page:{page_id}>", page_id, url, whole, digest.digest(), refers_to, refers_url, when)
+    if whole and refers_to is None:
         yield from _parts(payload, chunk)
     yield EOR
 
 
+class _Archive:
+    """Appends records to one file, each from its chunk rows in order."""
+
+    def __init__(self, out, when: str):
+        self.out, self.when, self.count, self.rid, self.next = out, when, 0, None, 0
+
+    def put(self, rid, chunk_no, page_id, url, size, sha1, refers_to, refers_url, data) -> None:
+        if rid != self.rid:
+            self.close()
+            self.rid, self.next, self.left = rid, 0, 0 if refers_to is not None else size
+            self.want, self.digest = bytes.fromhex(sha1), hashlib.sha1()
+            self.pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+            self._add(_header(f"<urn:uuid:{uuid.uuid4()}>", page_id, url, size, self.want, refers_to, refers_url, self.when))
+            self.check = refers_to is None
+        if chunk_no != self.next:
+            raise ValueError(f"record {rid}: chunk {chunk_no} in place of {self.next}")
+        self.next += 1
+        if data:
+            self.digest.update(data)
+            self.left -= len(data)
+            self._add(data)
+
+    def _add(self, data: bytes) -> None:
+        self.out.write(self.pack.compress(data))
+
+    def close(self) -> None:
+        if self.rid is None:
+            return
+        if self.left or self.check and self.digest.digest() != self.want:
+            raise ValueError(f"record {self.rid}: its chunks are not its payload")
+        self._add(EOR)
+        self.out.write(self.pack.flush())
+        self.count, self.rid = self.count + 1, None
+
+
 def write_archives(pages: DataFrame, folder: str | None = None, chunk: int = CHUNK, revisit_from: int = REVISIT_FROM, when: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Write one archive for each task; the manifest of committed archives."""
     spark = pages.sparkSession
@@ -106,26 +170,27 @@ def write_archives(pages: DataFrame, folder: str | None = None, chunk: int = CHU
 
     def run(batches):
         store, root = _filesystem(folder)
-        out, name, count, size = None, f"{root}/part-{uuid.uuid4().hex}.warc.gz", 0, 0
+        out, name, size = None, f"{root}/part-{uuid.uuid4().hex}.warc.gz", 0
         try:
             for b in batches:
-                for page_id, url, page, refers in zip(*(c.to_pylist() for c in b.columns)):
-                    if out is None:
-                        store.create_dir(root, recursive=True)
-                        out = store.open_output_stream(name, compression=None, buffer_size=1 << 20)
-                    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    for part in record_chunks(page_id, url, page, refers, when, chunk):
-                        out.write(pack.compress(part))
-                    out.write(pack.flush())
-                    size = out.tell()
-                    count += 1
+                if out is None and b.num_rows:
+                    store.create_dir(root, recursive=True)
+                    out = store.open_output_stream(name, compression=None, buffer_size=1 << 20)
+                    archive = _Archive(out, when)
+                columns = [c.to_pylist() for c in b.columns[:-1]]
+                for i, row in enumerate(zip(*columns)):
+                    archive.put(*row, b.column(8)[i].as_py())  # one chunk at a time
+            if out is not None:
+                archive.close()
+                size = out.tell()
         finally:
             if out is not None:
                 out.close()
-        if count:
-            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name.rpartition('/')[2]}"]), pa.array([count]), pa.array([size])], ["path", "n_records", "n_bytes"])
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name.rpartition('/')[2]}"]), pa.array([archive.count]), pa.array([size])], ["path", "n_records", "n_bytes"])
 
-    return cut(plan_revisits(pages, revisit_from).mapInArrow(run, MANIFEST), "warc-manifest")
+    rows = chunk_table(pages, chunk, revisit_from).sortWithinPartitions("rid", "chunk_no")
+    return cut(rows.mapInArrow(run, MANIFEST), "warc-manifest")
 
 
 def _records(stream, chunk: int):
@@ -171,8 +236,7 @@ def _records(stream, chunk: int):
 
 
 def _page(value: str | None):
-    m = re.fullmatch(r"<urn:page:(-?\d+)>", value or "")
-    return int(m[1]) if m else None
+    return None if value is None else int(value)
 
 
 def read_chunks(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK, with_data: bool = True) -> DataFrame:
@@ -196,7 +260,7 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK, wi
                     for h, body in _records(stream, chunk):
                         kind, url = h["warc-type"], h.get("warc-target-uri")
                         url = None if url is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), url)
-                        same = (path, h["warc-record-id"], kind, _page(h["warc-record-id"]), url, _page(h.get("warc-refers-to")))
+                        same = (path, h["warc-record-id"], kind, _page(h.get("x-page-id")), url, _page(h.get("x-refers-to-page")))
                         if kind == "revisit":
                             digest = base64.b32decode(h["warc-payload-digest"].partition(":")[2]).hex()
                             rows.append((*same, 0, None, int(h["x-payload-length"]), digest, True))

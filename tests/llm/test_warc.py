@@ -54,3 +54,40 @@ def test_archived_reads_chunk_rows(spark, monkeypatch):
     assert [(r.payload_bytes, r.payload_digest) for r in got] == [(300_000, hashlib.sha1(text.encode()).hexdigest())]
     rows = sorted(seen[0].collect(), key=lambda r: r.chunk_no)
     assert len(rows) >= 300_000 // warc.CHUNK and b"".join(r.data for r in rows) == text.encode()
+
+
+def test_record_ids_are_unique(spark):
+    rows = [(1, "u", "small")] * 3 + [(None, "u", "small")] * 3 + [(2, "v", "z" * 5000)] * 2 + [(1, "w", "z" * 5000), (None, None, "z" * 5000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    back = read_chunks(spark, write_archives(df)).where("last").collect()
+    assert len({r.record_id for r in back}) == len(rows)
+    assert sorted((r.page_id or 0, r.refers_to or 0) for r in back) == sorted([(1, 0)] * 3 + [(0, 0)] * 3 + [(2, 0)] * 2 + [(1, 2), (0, 2)])
+
+
+def test_small_pages_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from lodequill.llm.warc import chunk_table
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 1000, 1, 4).selectExpr("id AS page_id", "'u' AS url", "'small' AS html").unionByName(spark.range(2).selectExpr("id AS page_id", "'u' AS url", "repeat('z', 2000) AS html"))
+        sizes = [r["count"] for r in chunk_table(df).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 1002 and max(sizes) < 400
+
+
+def test_hot_and_huge_payloads_stay_in_chunks(spark, monkeypatch):
+    from lodequill.llm import common, warc
+
+    monkeypatch.setattr(common.hot_join, "__defaults__", (None, None, "inner", 3, 1 << 18))
+    size = 64 << 20
+    df = spark.range(1).selectExpr("id AS page_id", "'u' AS url", f"repeat('0123456789abcdef', {size // 16}) AS html").unionByName(spark.range(1, 60).selectExpr("id AS page_id", "'u' AS url", "repeat('é', 90000) AS html"))
+    chunks = warc.chunk_table(df)
+    assert chunks.selectExpr("max(octet_length(data)) AS m").first().m <= warc.CHUNK
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.refers_to) for r in archived(df).collect()}
+    hot = hashlib.sha1("é".encode() * 90000).hexdigest()
+    assert got == {0: (size, hashlib.sha1(b"0123456789abcdef" * (size // 16)).hexdigest(), None)} | {i: (180_000, hot, None if i == 59 else 59) for i in range(1, 60)}
