@@ -14,7 +14,9 @@ No bucket is expanded into its pairs:
 1. Texts with equal shingle sets are one class (aggregation), its smallest
    doc_id the node.
 2. Each node is compared with one other, the bucket head it shares most keys
-   with. Confirmed links make a forest, contracted by pointer jumping.
+   with. Confirmed links make a forest, contracted by pointer jumping. Joins on
+   keys, heads, labels and classes that many rows may share deal a hot one's
+   rows to several tasks (`hot_join`).
 3. In buckets whose nodes are in several components, signatures are compared
    inside a task, block by block. A pair belongs to its first common key, so it
    is looked at once. What leaves is the list of nodes that have a candidate of
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, cut, slices, utf8
+from .common import arrow_limits, cut, hot_join, slices, utf8
 from .shingles import set_digest, shingle_sets, signatures
 
 WORDS, PERCENT = 5, 75
@@ -124,7 +126,11 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, words: i
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    with_a = pairs.select("a", "b").join(left, "a")  # a node is `a` once
+    if pairs.isEmpty():
+        return cut(with_a.select("a", "b"), "neardup-links")
+    shared = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
+    both = hot_join(with_a, right.join(shared, "b"), "b", "_n", F.col("a")).select("a", "b", "text_a", "text_b")
     return cut(both.mapInArrow(run, "a long, b long"), "neardup-links")
 
 
@@ -133,30 +139,40 @@ def roots(forest: DataFrame) -> DataFrame:
     forest = forest.select("node", F.col("parent").alias("label"))
     while True:
         up = forest.select(F.col("node").alias("label"), F.col("label").alias("higher"))
-        forest = cut(forest.join(up, "label", "left").select("node", F.coalesce("higher", "label").alias("label"), F.col("higher").isNotNull().alias("moved")), "neardup-roots")
+        jumped = hot_join(forest, up, "label", None, F.col("node"), "left")
+        forest = cut(jumped.select("node", F.coalesce("higher", "label").alias("label"), F.col("higher").isNotNull().alias("moved")), "neardup-roots")
         if forest.where("moved").isEmpty():
             return forest.select("node", "label")
         forest = forest.select("node", "label")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
+    """rows with the label of `node`; a node has few rows here."""
     own = labels.select(F.col("node").alias(node), F.col("label").alias("found"))
     return rows.join(own, node, "left").withColumn(label, F.coalesce("found", node)).drop("found")
 
 
+def _relabelled(edges: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
+    """The same for edges, where one component may stand in any share of them."""
+    own = labels.select(F.col("node").alias(node), F.col("label").alias("found"))
+    other = "b" if node == "a" else "a"
+    return hot_join(edges, own, node, None, F.col(other), "left").withColumn(label, F.coalesce("found", node)).drop("found")
+
+
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: every component hooks to its smallest linked
     component, the forest is contracted, and what still differs goes on."""
-    edges = _labelled(_labelled(links, labels, "a", "x"), labels, "b", "y").select("x", "y")
+    edges = _relabelled(_relabelled(links, labels, "a", "x"), labels, "b", "y").select("x", "y")
     while True:
         edges = cut(edges.where("x <> y").select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("parent")).distinct(), "neardup-edges")
         if edges.isEmpty():
             return labels
         up = roots(edges.groupBy("node").agg(F.min("parent").alias("parent")))
         new = up.join(labels.select("node"), "node", "left_anti")
-        moved = labels.join(up.select(F.col("node").alias("label"), F.col("label").alias("higher")), "label", "left").select("node", F.coalesce("higher", "label").alias("label"))
+        higher = up.select(F.col("node").alias("label"), F.col("label").alias("higher"))
+        moved = hot_join(labels, higher, "label", None, F.col("node"), "left").select("node", F.coalesce("higher", "label").alias("label"))
         labels = cut(moved.unionByName(new), "neardup-labels")
-        edges = _labelled(_labelled(edges.withColumnsRenamed({"node": "a", "parent": "b"}), up, "a", "x"), up, "b", "y").select("x", "y")
+        edges = _relabelled(_relabelled(edges.withColumnsRenamed({"node": "a", "parent": "b"}), up, "a", "x"), up, "b", "y").select("x", "y")
 
 
 def _first_common(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -316,16 +332,18 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_
     arrow_limits(spark, 1000, 4)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     prints = cut(fingerprints(rows, words), "neardup-prints")
-    classes = cut(prints.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
+    full, wordless = prints.where("n_shingles > 0"), prints.where("n_shingles = 0")
+    classes = cut(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "neardup-classes")
     nodes = classes.where("node IS NOT NULL")
     entries = _entries(nodes)
-    heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1")  # a node has a key once
-    shared = cut(entries.join(heads, "key"), "neardup-shared")
+    heads = cut(entries.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1"), "neardup-heads")  # a node has a key once
     labels = spark.createDataFrame([], "node long, label long")
-    if not shared.isEmpty():
-        labels = _linked(rows, nodes, shared, percent, words)
-    comp = _labelled(classes.select("d1", "d2", "node"), labels, "node", "component_id").select("d1", "d2", "component_id")
-    out = prints.drop("sig").join(comp, ["d1", "d2"], "left")
+    if not heads.isEmpty():
+        shared = hot_join(entries, heads.withColumn("_n", F.col("c")), "key", "_n", F.col("node"))
+        labels = _linked(rows, nodes, cut(shared, "neardup-shared"), percent, words)
+    comp = _labelled(classes.select("d1", "d2", "node", "copies"), labels, "node", "component_id").select("d1", "d2", "component_id", "copies")
+    found = hot_join(full.drop("sig"), cut(comp, "neardup-components"), ["d1", "d2"], "copies", F.col("doc_id"))
+    out = found.select("doc_id", "n_shingles", "component_id").unionByName(wordless.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -346,6 +364,25 @@ def _linked(rows: DataFrame, nodes: DataFrame, shared: DataFrame, percent: int,
 
 
 def near_keepers(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The rows of docs, with all their columns, that are kept."""
-    gone = cut(near_groups(docs, percent, words).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "neardup-gone")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """The rows of docs, with all their columns, that are kept. Rows that
+    repeat a kept doc_id all stay. A row without doc_id stays if its set is no
+    other row's; it is recognised by its set and goes if that has a component."""
+    groups = cut(near_groups(docs, percent, words).where("NOT kept"), "neardup-gone")
+    gone = groups.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("gone_id")).distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    if groups.where("doc_id IS NULL").isEmpty():
+        return kept
+    return kept.where("doc_id IS NOT NULL").unionByName(_nameless(docs, words))
+
+
+def _nameless(docs: DataFrame, words: int) -> DataFrame:
+    """Rows without doc_id whose shingle set no row with a doc_id has."""
+    text = F.coalesce("text", F.lit(""))
+    mine = docs.where("doc_id IS NULL").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), F.monotonically_increasing_id().alias("at"))
+    mine = cut(mine, "neardup-nameless")
+    own = fingerprints(mine.select("at", "text"), words).where("n_shingles > 0").select(F.col("doc_id").alias("at"), "d1", "d2")
+    named = fingerprints(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), text), words).where("n_shingles > 0").select("d1", "d2").distinct()
+    lost = cut(own.join(named, ["d1", "d2"], "left_semi").select("at"), "neardup-lost")
+    return mine.join(lost, "at", "left_anti").select("row.*")
+
+

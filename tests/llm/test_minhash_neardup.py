@@ -93,3 +93,21 @@ def test_query_against_brute_force(spark, sf_dir):
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert sorted(map(tuple, QUERIES["op9_minhash_neardup"](spark, sf_dir).collect())) == brute(rows)
+
+
+def test_keepers_of_rows_without_ids(spark):
+    rows = [(1, "a b c d e f"), (None, "a b c d e f"), (None, "p q r s t u"), (None, None), (2, "A b c d e f"), (3, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "map('k', text) AS m")
+    kept = near_keepers(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (0, "p q r s t u"), (1, "a b c d e f"), (3, "z")]
+
+
+def test_hot_keys_are_dealt(spark, monkeypatch):
+    from lodequill.llm import common
+
+    monkeypatch.setattr(common.hot_join, "__defaults__", (None, None, "inner", 3, 1 << 18))
+    rows = corpus(9)[:150]
+    rows += [(100_000 + i, rows[0][1]) for i in range(50)] + [(200_000 + i, "") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, near_groups(df).collect())) == brute(rows)
