@@ -50,3 +50,24 @@ def test_mix(spark):
     assert mixed_rows(df).columns == df.columns
     assert mix(df.limit(0)).count() == 0 and mixed_rows(df.limit(0)).count() == 0
     assert {(r.target, r.taken) for r in mix(df.where("doc_id in (601, 602)")).collect()} == {(0.0, 0)}
+
+
+def test_strided_ids_and_maps(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(64 * i, "a b c" if i % 2 else "d", "s") for i in range(400)] + [(None, "x y", "t")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("m", F.create_map(F.lit("k"), "text"))
+    got = mix(df).collect()
+    taken = sum(r.taken for r in got if r.doc_id is not None)
+    assert len(got) == len(rows) and abs(taken - 1170) <= 6  # t stops at 120 of the 1290 words
+    out = mixed_rows(df)
+    assert out.columns == df.columns and sum(len(r.text.split()) for r in out.collect()) == sum(r.taken for r in got)
+
+
+def test_many_sources_are_numbered_by_ranges(spark):
+    from lodequill.llm.mixing import numbered
+
+    names = [f"s{i:04d}" for i in range(1000)] + [None, "é", "Z"]
+    df = spark.createDataFrame([(n, 1) for n in names], "source string, source_size long")
+    got = {r.source: r.nth for r in numbered(df).collect()}
+    assert got == {n: i for i, n in enumerate(sorted(x for x in names if x) + [None])}
