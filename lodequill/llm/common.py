@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -99,6 +100,16 @@ def arrow_limits(spark: SparkSession, rows: int = 1000, mb: int = 8) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
+def filesystem(path: str):
+    """The store and the path in it of a shared file or folder, as the workers
+    see it."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", path)))
+    return fs.LocalFileSystem(), path
+
+
 def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of an Arrow string column; null is empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, cut, hot_join, shared_path
+from .common import arrow_limits, cut, filesystem, hot_join, shared_path
 
 CHUNK, REVISIT_FROM = 1 << 16, 1000
 MANIFEST = "path string, n_records long, n_bytes long"
@@ -51,15 +51,6 @@ CHUNKS = "path string, record_id string, record_type string, page_id long, url s
 EOR = b"\r\n\r\n"
 
 
-def _filesystem(path: str):
-    """The store of a folder as the workers see it."""
-    from pyarrow import fs
-
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-    return fs.LocalFileSystem(), path
-
-
 def chunk_table(pages: DataFrame, chunk: int = CHUNK, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """rid, chunk_no, page_id, url, payload_bytes, payload_digest, refers_to,
     refers_url, data: a row for each chunk of a response, and one without data
@@ -169,7 +160,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, chunk: int = CHU
     arrow_limits(spark, 1000, 8)
 
     def run(batches):
-        store, root = _filesystem(folder)
+        store, root = filesystem(folder)
         out, name, size = None, f"{root}/part-{uuid.uuid4().hex}.warc.gz", 0
         try:
             for b in batches:
@@ -255,7 +246,7 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK, wi
 
         for b in batches:
             for path in b.column(0).to_pylist():
-                store, local = _filesystem(path)
+                store, local = filesystem(path)
                 with store.open_input_stream(local, compression=None, buffer_size=1 << 20) as packed, gzip.GzipFile(fileobj=packed) as stream:
                     for h, body in _records(stream, chunk):
                         kind, url = h["warc-type"], h.get("warc-target-uri")

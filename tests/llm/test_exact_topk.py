@@ -41,3 +41,24 @@ def test_bounds_read_few_vectors():
     best.scan(np.arange(4000), shift, (x >> shift[:, None]).astype(np.int8), x)
     assert sum(seen) < 400
     assert best.scores[0].tolist() == sorted((x @ x[0]).tolist(), reverse=True)[:10]
+
+
+def test_only_what_bounds_leave_is_read(tmp_path):
+    from lodequill.llm.exact_topk import ExactFiles
+
+    r = np.random.default_rng(1)
+    x = np.floor(1024 * r.normal(size=(5000, 64)) / 8).astype(np.int64)
+    (tmp_path / "part.bin").write_bytes(x.astype("<i8").tobytes())
+    files, reads = ExactFiles(), []
+
+    def read(places):
+        reads.append(len(places))
+        return files.read([f"file://{tmp_path}/part.bin"] * len(places), places * 512, 64)
+
+    best = Best(np.arange(5), x[:5], 10)
+    shift = np.array([max(0, int(np.abs(v).max()).bit_length() - 7) for v in x])
+    assert best.scan(np.arange(5000), shift, (x >> shift[:, None]).astype(np.int8), read) == sum(reads) < 1000
+    for i in range(5):
+        scores = x @ x[i]
+        want = [j for j in np.lexsort((np.arange(5000), -scores)) if j != i][:10]
+        assert best.rows[i].tolist() == want and best.scores[i].tolist() == scores[want].tolist()
