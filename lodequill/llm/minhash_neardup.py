@@ -313,9 +313,10 @@ def _exact_links(undecided: DataFrame, nodes: DataFrame, labels: DataFrame, text
 
     ids = undecided.select("node").distinct()
     info = _labelled(nodes.select("node", "n", "sig"), labels, "node", "label").join(ids, "node", "left_semi")
-    joined = undecided.join(info.join(texts, "node"), "node")
     size = undecided.join(nodes.select("node", "n"), "node").groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
-    return cut(_dealt(joined.join(size, "key"), "c", F.col("s"), ["node", "n", "label", "sig", "text"]).mapInArrow(run, "a long, b long"), "neardup-links")
+    sized = hot_join(undecided, cut(size, "neardup-sizes").withColumn("_n", F.col("c")), "key", "_n", F.col("node"))
+    joined = sized.join(info.join(texts, "node"), "node")  # a node has a text once, and few keys
+    return cut(_dealt(joined, "c", F.col("s"), ["node", "n", "label", "sig", "text"]).mapInArrow(run, "a long, b long"), "neardup-links")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -72,8 +72,8 @@ class WordTable:
     """Distinct marked words and what `value` makes of their ids; each is
     segmented once while it stays. It is emptied beyond `most` entries."""
 
-    def __init__(self, m: Model, value, most: int = 150_000, longest: int = 64):
-        self.m, self.value, self.most, self.longest, self.known = m, value, most, longest, {}
+    def __init__(self, m: Model, value, most: int = 150_000):
+        self.m, self.value, self.most, self.known = m, value, most, {}
 
     def fill(self, words) -> dict:
         known = self.known

@@ -11,11 +11,14 @@ its words' decoded texts joined by spaces. So:
 3. A block's texts meet the ids of its words, which are joined by position.
 
 Rows that travel are blocks and (block, bucket) lists, never single words, and
-a word is sent once a block, so frequent words make no hot key. A bucket's
-table is emptied beyond `TABLE` words: memory stays bounded and results stay
-right, only words would then be segmented again; more `buckets` avoid that. A
-block's name holds a digest of its rows. Should a source give other rows when
-it is read again, the block finds no ids and segments its words itself.
+a word is sent once a block, so frequent words make no hot key. There is a
+bucket for each `SHARE` bytes of text (`FEWEST` to `MOST` of them), and each is
+a task, so a task's table and its lists stay alike as the input grows; at `MOST`
+buckets they grow with the vocabulary of a bucket's words. A table that reaches
+`TABLE` words all the same is emptied, a guard of memory: results stay right,
+only words would then be segmented again. A block's name holds a digest of its
+rows. Should a source give other rows when it is read again, the block finds no
+ids and segments its words itself.
 
 A model that allows pieces across markers, or that normalises texts, encodes
 whole texts instead.
@@ -29,6 +32,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import struct
 from array import array
 from itertools import chain
 from zlib import crc32
@@ -36,7 +40,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, slices
@@ -45,8 +49,8 @@ from .pieces import Model, WordTable, default_model, marked_words, model
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 PARCEL = "block string, bucket int, data binary"
 BLOCK = 8 << 20  # bytes of text
-BUCKETS = 256
-TABLE = 1_000_000
+SHARE, FEWEST, MOST = 16 << 20, 64, 16_384
+TABLE = 2_000_000
 LEVEL = 6  # of zstd, for what is shuffled
 TEXTS = -1  # the bucket number of a block's own rows
 
@@ -60,15 +64,40 @@ def encode_texts(texts: list[str], words: WordTable) -> list[np.ndarray]:
     return [np.frombuffer(b"".join([known[w] for w in s]), np.int32) for s in split]
 
 
-def _pack(batch: pa.RecordBatch | pa.Table) -> bytes:
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=LEVEL)
+
+
+def _pack(*parts: bytes) -> bytes:
+    """Parts with their lengths, compressed together."""
+    raw = struct.pack(f"<{len(parts)}I", *map(len, parts)) + b"".join(parts)
+    return struct.pack("<IB", len(raw), len(parts)) + _codec().compress(raw, asbytes=True)
+
+
+def _unpack(data: bytes) -> list[bytes]:
+    whole, count = struct.unpack_from("<IB", data)
+    raw = _codec().decompress(data[5:], whole, asbytes=True)
+    out, at = [], 4 * count
+    for n in struct.unpack_from(f"<{count}I", raw):
+        out.append(raw[at : at + n])
+        at += n
+    return out
+
+
+def _pack_rows(t: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))) as w:
-        w.write(batch)
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression=_codec())) as w:
+        w.write(t)
     return sink.getvalue().to_pybytes()
 
 
-def _unpack(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
+def places(spark: SparkSession, n: int) -> list[int]:
+    """n numbers that a shuffle by hash over n partitions deals one to each."""
+    rows, want = [], n
+    while len(rows) < n:
+        want *= 4
+        rows = spark.range(want).select(F.col("id").cast("int").alias("k")).groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).collect()  # n rows
+    return [r.k for r in sorted(rows, key=lambda r: r.p)]
 
 
 def _blocks(batches, size: int):
@@ -108,14 +137,15 @@ def _parcels(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(block, pa.string()), pa.array(bucket, pa.int32()), pa.array(data, pa.binary())], ["block", "bucket", "data"])
 
 
-def word_lists(docs: DataFrame, buckets: int = BUCKETS, block: int = BLOCK) -> DataFrame:
-    """(block, bucket, its distinct marked words) of (doc_id, text)."""
+def word_lists(docs: DataFrame, buckets: list[int], block: int = BLOCK) -> DataFrame:
+    """(block, bucket, its distinct marked words) of (doc_id, text); `buckets`
+    are the buckets' numbers."""
 
     def run(batches):
         for name, t in _blocks(batches, block):
-            words, ends = _distinct([marked_words(x or "") for x in t.column(1).to_pylist()], buckets)
+            words, ends = _distinct([marked_words(x or "") for x in t.column(1).to_pylist()], len(buckets))
             starts = np.concatenate([[0], ends[:-1]])
-            rows = [(name, k, _pack(pa.record_batch([pa.array([" ".join(words[a:z])], pa.string())], ["words"]))) for k, (a, z) in enumerate(zip(starts, ends)) if z > a]
+            rows = [(name, k, _pack(" ".join(words[a:z]).encode())) for k, a, z in zip(buckets, starts, ends) if z > a]
             if rows:
                 yield _parcels(rows)
 
@@ -127,7 +157,7 @@ def block_texts(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     def run(batches):
         for name, t in _blocks(batches, block):
-            yield _parcels([(name, TEXTS, _pack(t))])
+            yield _parcels([(name, TEXTS, _pack_rows(t))])
 
     return docs.mapInArrow(run, PARCEL)
 
@@ -137,7 +167,7 @@ def _both(m: Model):
     return lambda ids: (array("i", ids).tobytes(), m.sp.decode(ids))
 
 
-def segmented(lists: DataFrame, path: str) -> DataFrame:
+def segmented(lists: DataFrame, path: str, buckets: int) -> DataFrame:
     """Word lists -> how many ids each word has, the ids, and the decoded texts
     of the words that don't decode to themselves."""
 
@@ -148,30 +178,33 @@ def segmented(lists: DataFrame, path: str) -> DataFrame:
             for name, bucket, data in zip(*(c.to_pylist() for c in b.columns)):
                 if bucket != last:
                     table, last = WordTable(m, _both(m), TABLE), bucket
-                words = _unpack(data).column(0)[0].as_py().split(" ")  # no word holds a space
+                words = _unpack(data)[0].decode().split(" ")  # no word holds a space
                 known = table.fill(words)
                 got = [known[w] for w in words]
-                ids = pa.array(np.frombuffer(b"".join([x for x, _ in got]), np.int32).astype(m.narrow))
+                ids = np.frombuffer(b"".join([x for x, _ in got]), np.int32).astype(m.narrow)
                 odd = [k for k, (w, (_, y)) in enumerate(zip(words, got)) if y != w]
-                lists = [pa.array([len(x) >> 2 for x, _ in got], pa.int32()), ids, pa.array(odd, pa.int32()), pa.array([got[k][1] for k in odd], pa.string())]
-                yield _parcels([(name, bucket, _pack(pa.record_batch([pa.array([x.tolist()], pa.list_(x.type)) for x in lists], ["counts", "ids", "odd", "decoded"])))])
+                own = [got[k][1].encode() for k in odd]
+                heads = [array("i", [len(x) >> 2 for x, _ in got]), array("i", odd), array("i", map(len, own))]
+                yield _parcels([(name, bucket, _pack(ids.tobytes(), *[x.tobytes() for x in heads], b"".join(own)))])
 
-    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PARCEL)
+    return lists.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, PARCEL)
 
 
-def _known(parcels: dict, split: list[list[str]], buckets: int, m: Model) -> dict:
+def _known(parcels: dict, split: list[list[str]], buckets: list[int], m: Model) -> dict:
     """A block's words with ids and decoded texts, by position in its lists."""
-    words, ends = _distinct(split, buckets)
+    words, ends = _distinct(split, len(buckets))
     known, a = {}, 0
-    for k, z in enumerate(ends.tolist()):
+    for k, z in zip(buckets, ends.tolist()):
         if z > a and k in parcels:
-            counts, ids, odd, decoded = (c.chunk(0).values for c in _unpack(parcels[k]).columns)
-            raw = ids.to_numpy().astype(np.int32).tobytes()
-            at = (4 * np.concatenate([[0], np.cumsum(counts.to_numpy())])).tolist()
+            ids, counts, odd, sizes, texts = _unpack(parcels[k])
+            raw = np.frombuffer(ids, m.narrow).astype(np.int32).tobytes()
+            at = (4 * np.concatenate([[0], np.cumsum(np.frombuffer(counts, np.int32))])).tolist()
             for w, x, y in zip(words[a:z], at, at[1:]):
                 known[w] = raw[x:y], w
-            for x, y in zip(odd.to_pylist(), decoded.to_pylist()):
-                known[words[a + x]] = known[words[a + x]][0], y
+            end = 0
+            for x, n in zip(np.frombuffer(odd, np.int32).tolist(), np.frombuffer(sizes, np.int32).tolist()):
+                known[words[a + x]] = known[words[a + x]][0], texts[end : end + n].decode()
+                end += n
         elif z > a:
             known |= WordTable(m, _both(m), TABLE).fill(words[a:z])
         a = z
@@ -192,7 +225,7 @@ def _runs(t: pa.Table):
         yield b.slice(i, j - i)
 
 
-def joined(parcels: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
+def joined(parcels: DataFrame, path: str, buckets: list[int] | tuple = (0,)) -> DataFrame:
     """Texts and ids of blocks -> doc_id, ids, decoded."""
 
     def rows(batches):
@@ -201,7 +234,7 @@ def joined(parcels: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
 
     def finish(texts, lists, m):
         for data in texts:
-            t = _unpack(data).combine_chunks()
+            t = pa.ipc.open_stream(data).read_all().combine_chunks()
             known = _known(lists, [marked_words(x or "") for x in t.column(1).to_pylist()], buckets, m)
             for part in _runs(t):
                 split = [[known[w] for w in marked_words(x or "")] for x in part.column(1).to_pylist()]
@@ -220,7 +253,7 @@ def joined(parcels: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
                 lists[bucket] = data
         yield from finish(texts, lists, m)
 
-    return parcels.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(run, SCHEMA)
+    return parcels.repartition(len(buckets), "block").sortWithinPartitions("block", "bucket").mapInArrow(run, SCHEMA)
 
 
 def _whole(docs: DataFrame, path: str) -> DataFrame:
@@ -234,15 +267,20 @@ def _whole(docs: DataFrame, path: str) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def encode_decode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, block: int = BLOCK) -> DataFrame:
-    """doc_id, ids, decoded for each row."""
+def encode_decode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None, block: int = BLOCK) -> DataFrame:
+    """doc_id, ids, decoded for each row. `buckets` follow from the size of all
+    texts unless given."""
     path = model_path or default_model()
     arrow_limits(docs.sparkSession, 1000, 4)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if not model(path).marks_split:
         return _whole(rows, path)
-    ids = segmented(word_lists(rows, buckets, block), path)
-    return joined(block_texts(rows, block).unionByName(ids), path, buckets)
+    if buckets is None:
+        size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+        buckets = min(MOST, max(FEWEST, -(-size // SHARE)))
+    numbers = places(docs.sparkSession, buckets)
+    ids = segmented(word_lists(rows, numbers, block), path, buckets)
+    return joined(block_texts(rows, block).unionByName(ids), path, numbers)
 
 
 def digests(coded: DataFrame) -> DataFrame:
