@@ -10,7 +10,28 @@ TR_UNITS = "- bir iki üç dört beş altı yedi sekiz dokuz".split()
 TR_TENS = "- on yirmi otuz kırk elli altmış yetmiş seksen doksan".split()
 EN_SMALL = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 EN_TENS = "- - twenty thirty forty fifty sixty seventy eighty ninety".split()
-TR_ORDINAL_ENDS = dict(zip("bir iki üç dört beş altı yedi sekiz dokuz on yirmi otuz kırk elli altmış yetmiş seksen doksan yüz bin".split(), "birinci ikinci üçüncü dördüncü beşinci altıncı yedinci sekizinci dokuzuncu onuncu yirminci otuzuncu kırkıncı ellinci altmışıncı yetmişinci sekseninci doksanıncı yüzüncü bininci".split()))
+TR_ORDINAL_ENDS = {
+    "bir": "birinci",
+    "iki": "ikinci",
+    "üç": "üçüncü",
+    "dört": "dördüncü",
+    "beş": "beşinci",
+    "altı": "altıncı",
+    "yedi": "yedinci",
+    "sekiz": "sekizinci",
+    "dokuz": "dokuzuncu",
+    "on": "onuncu",
+    "yirmi": "yirminci",
+    "otuz": "otuzuncu",
+    "kırk": "kırkıncı",
+    "elli": "ellinci",
+    "altmış": "altmışıncı",
+    "yetmiş": "yetmişinci",
+    "seksen": "sekseninci",
+    "doksan": "doksanıncı",
+    "yüz": "yüzüncü",
+    "bin": "bininci",
+}
 EN_ORDINAL_ENDS = {"one": "first", "two": "second", "three": "third", "five": "fifth", "eight": "eighth", "nine": "ninth", "twelve": "twelfth"}
 ROMAN = (("M", 1000), ("CM", 900), ("D", 500), ("CD", 400), ("C", 100), ("XC", 90), ("L", 50), ("XL", 40), ("X", 10), ("IX", 9), ("V", 5), ("IV", 4), ("I", 1))
 

@@ -556,7 +556,7 @@ def diversity_metrics(spark, sf):
     return E.diversity_metrics(_results(spark, sf))
 
 
-_SECTION = "CASE " + " ".join(f"WHEN regexp_matches(s, '{p.replace(chr(92) + 'b', '')}') THEN '{n}'" for n, p in C.RULES) + " ELSE 'Supporting Evidence' END"
+_SECTION = "CASE " + " ".join(f"WHEN regexp_matches(s, '{p.replace(chr(92) + 'b', '')}') THEN '{n}'" for n, p in C.SECTION_PATTERNS) + " ELSE 'Supporting Evidence' END"
 _WORDS = "['nedir bu', 'bir örnek', 'ayrıca var', 'ilgili konu', 'temel ilke', 'the core', 'plain words', 'an example']"
 
 

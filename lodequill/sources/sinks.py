@@ -17,13 +17,15 @@ def _fs(spark: SparkSession, path: str):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one
-    where the session names none (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where the
+    session names none and runs on this machine alone (tests), a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jdir.get() if jdir.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lodequill-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
