@@ -2,39 +2,66 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+from functools import lru_cache
+from itertools import combinations
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import materialize
 
-BANDS = 4
+BLOCKS = (11, 11, 11, 11, 10, 10)  # bits of a SimHash, from the low end
 
 
 def token_frequency(docs: DataFrame, tokens: Column, key: str) -> DataFrame:
-    return docs.select(key, F.explode(tokens).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    """(key, token, n) of each row. A row's tokens are at hand, so they are
+    counted inside the row and nothing is shuffled."""
+    kind = dict(docs.dtypes)[key]
+
+    def run(batches):
+        for b in batches:
+            counts = [Counter(x) for x in b.column(1).to_pylist() if x]
+            at = np.repeat([i for i, x in enumerate(b.column(1).to_pylist()) if x], [len(c) for c in counts]).astype(np.int64)
+            words = [w for c in counts for w in c]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(words, pa.string()), pa.array([n for c in counts for n in c.values()], pa.int64())], [key, "token", "n"])
+
+    return docs.select(key, tokens.alias("tokens")).mapInArrow(run, f"`{key}` {kind}, token string, n long")
+
+
+@lru_cache(maxsize=1 << 16)
+def _bits(token: str) -> bytes:
+    return hashlib.sha256(token.encode()).digest()[:8]
+
+
+def _vote(tokens) -> int:
+    """The signed 64 bits of a token list."""
+    if tokens is None or not len(tokens):
+        return -1
+    counts = Counter(tokens)
+    bits = np.unpackbits(np.frombuffer(b"".join(map(_bits, counts)), np.uint8).reshape(len(counts), 8), axis=1)
+    votes = np.fromiter(counts.values(), np.int64, len(counts)) @ bits
+    return int(np.packbits(2 * votes >= len(tokens)).view(">i8")[0])
+
+
+def simhash_of(tokens: Column) -> Column:
+    """Each distinct token votes with its frequency on 64 bits of its SHA-256;
+    ties and texts without tokens set a bit. Votes are counted inside the row."""
+
+    @F.pandas_udf("long")
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(_vote, na_action=None).astype("int64")
+
+    return run(tokens)
 
 
 def simhash(docs: DataFrame, tokens: Column, key: str) -> DataFrame:
-    """(key, simhash): each distinct token votes with its frequency on 64 bits
-    of its SHA-256; ties and texts without tokens set a bit. Four bits' counts
-    share a long as lanes of 16 bits (for up to 32,767 tokens a text; callers
-    pass 8,000 at most), so the aggregation holds 16 sums and explodes no bits."""
-    freq = token_frequency(docs, tokens, key)
-    bits = F.conv(F.substring(F.sha2(F.col("token").cast("binary"), 256), 1, 16), 16, -10).cast("long")
-
-    def lanes(i):
-        four = F.shiftrightunsigned("bits", 4 * i)
-        bit = lambda k: F.shiftleft(four.bitwiseAND(F.lit(1 << k).cast("long")), 15 * k)
-        return F.sum((bit(0) + bit(1) + bit(2) + bit(3)) * F.col("n")).alias(f"v{i}")
-
-    votes = freq.withColumn("bits", bits).groupBy(key).agg(F.sum("n").alias("total"), *[lanes(i) for i in range(16)])
-    value = F.lit(0).cast("long")
-    for i in range(64):
-        count = F.shiftrightunsigned(f"v{i // 4}", 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF).cast("long"))
-        value = value.bitwiseOR(F.when(2 * count >= F.col("total"), F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("long")).otherwise(F.lit(0).cast("long")))
-    found = votes.select(key, value.alias("simhash"))
-    return docs.select(key).distinct().join(found, key, "left").select(key, F.coalesce("simhash", F.lit(-1).cast("long")).alias("simhash"))
+    """(key, simhash) of each row."""
+    return docs.select(key, simhash_of(tokens).alias("simhash"))
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -45,18 +72,32 @@ def simhash_hex(x: Column) -> Column:
     return F.lower(F.lpad(F.hex(x), 16, "0"))
 
 
+def classes(hashed: DataFrame, key: str) -> DataFrame:
+    """(simhash, id): distinct values with their smallest key. Rows with equal
+    values are one class, so a hot value is one row here."""
+    return hashed.groupBy("simhash").agg(F.min(key).alias("id"))
+
+
+def members(hashed: DataFrame, key: str) -> DataFrame:
+    """(key, class_id) of each row: the class of its value."""
+    return hashed.select(key, "simhash").join(classes(hashed, key), "simhash").select(key, F.col("id").alias("class_id"))
+
+
 def near_pairs(hashed: DataFrame, key: str, distance: int = 3) -> DataFrame:
-    """Pairs (a, b, distance) of distinct SimHash values at most `distance` <=
-    3 apart, by pigeonhole over four bands of 16 bits. Rows with equal values
-    are one class (its smallest key), so a hot value is one row here."""
-    if not 0 <= distance < BANDS:
-        raise ValueError(f"the bands find distances under {BANDS}")
-    classes = hashed.groupBy("simhash").agg(F.min(key).alias("id"))
-    band = F.posexplode(F.array(*[F.shiftrightunsigned("simhash", 16 * i).bitwiseAND(0xFFFF) for i in range(BANDS)])).alias("band", "value")
-    rows = classes.select("id", "simhash", band)
+    """Pairs (a, b, distance) of classes at most `distance` <= 3 apart; `members`
+    has the rows of each. Of six blocks of bits at least three agree in such a
+    pair, so each value is filed under all 20 combinations of three blocks: keys
+    of 32 or 33 bits, which few other values share."""
+    if not 0 <= distance <= len(BLOCKS) - 3:
+        raise ValueError(f"the blocks find distances up to {len(BLOCKS) - 3}")
+    starts = np.concatenate([[0], np.cumsum(BLOCKS)[:-1]]).tolist()
+    masks = [sum(((1 << BLOCKS[i]) - 1) << starts[i] for i in three) for three in combinations(range(len(BLOCKS)), 3)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keys = F.posexplode(F.array(*[F.col("simhash").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("table", "value")
+    rows = classes(hashed, key).select("id", "simhash", keys)
     x, y = rows.alias("x"), rows.alias("y")
-    close = (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")) & (hamming(F.col("x.simhash"), F.col("y.simhash")) <= distance)
     d = hamming(F.col("x.simhash"), F.col("y.simhash"))
+    close = (F.col("x.table") == F.col("y.table")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")) & (d <= distance)
     return x.join(y, close).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), d.alias("distance")).distinct()
 
 
@@ -90,6 +131,7 @@ def resolve(decisions: DataFrame, distance: int = 3) -> DataFrame:
     lower one. Order matters and similarity isn't transitive, so arrivals are
     replayed in the order (fetched_at, url), one task per component of
     candidates and only for components of more than one page."""
+    decisions = materialize(decisions)  # measured once, read several times
     live = decisions.where("indexable")
     by_text = live.groupBy("text_hash").agg(F.min("page_id").alias("b")).join(live.select("text_hash", F.col("page_id").alias("a")), "text_hash").where("a <> b").select("a", "b")
     by_hash = live.groupBy("simhash").agg(F.min("page_id").alias("b")).join(live.select("simhash", F.col("page_id").alias("a")), "simhash").where("a <> b").select("a", "b")

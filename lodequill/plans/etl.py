@@ -12,8 +12,7 @@ from ..operators import chunking, pages
 def pages_to_chunks(raw: DataFrame, config: chunking.ChunkConfig = chunking.ChunkConfig(), count=default_counter) -> DataFrame:
     """raw (page_id, url, html) -> chunks. Pages that fail leave no chunks."""
     clean = pages.extract_pages(raw).where("error IS NULL")
-    md = pages.markdown_pages(clean).where("error IS NULL").select("page_id", "markdown")
-    docs = clean.join(md, "page_id").select(F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".md")).alias("source_file"), "markdown", "title", "url", "language")
+    docs = pages.markdown_documents(clean).where("error IS NULL").select(F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".md")).alias("source_file"), "markdown", "title", "url", "language")
     return chunking.chunk_documents(docs, config, count).where("error IS NULL").drop("error")
 
 

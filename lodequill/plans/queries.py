@@ -100,7 +100,7 @@ def duplicate_tokens(spark, sf):
 @query(
     """SELECT doc_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), lpad(lower(to_hex((('0x' || substr(h, 17, 2))::INT & 63) | 128)), 2, '0') || substr(h, 19, 2), substr(h, 21, 12)) AS vector_id,
   greatest(1, ceil(n_chars / 225.0))::INT AS minutes, floor((n_chars - 3000) / 4.0 + 0.5)::BIGINT AS rounded,
-  replace(replace(replace(replace(replace(substr(text, 1, 60), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS escaped,
+  replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS escaped,
   CASE WHEN doc_id % 3 = 0 THEN doc_id WHEN doc_id % 3 = 1 THEN doc_id + 1 END::INT AS page
   FROM (SELECT *, sha256(doc_id::VARCHAR) AS h FROM documents)"""
 )
@@ -184,7 +184,7 @@ def page_quality(spark, sf):
 def quality_decisions(spark, sf):
     """Measured pages with near-duplicates resolved in arrival order."""
     q = P.page_quality(t(spark, sf, "pages"), 40, 50)
-    h = q.join(N.simhash(q, F.col("tokens"), "page_id"), "page_id").withColumn("fetched_at", F.col("page_id")).drop("tokens")
+    h = q.withColumn("simhash", N.simhash_of(F.col("tokens"))).withColumn("fetched_at", F.col("page_id")).drop("tokens")
     return N.resolve(h).select("page_id", "url", "classification", "quality_score", "status", "duplicate_of")
 
 
@@ -251,6 +251,11 @@ def near_dup_pairs(spark, sf):
     return N.near_pairs(N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
 
 
+@query(f"SELECT doc_id, min(doc_id) OVER (PARTITION BY simhash) AS class_id FROM {_HASHED}")
+def near_dup_members(spark, sf):
+    return N.members(N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
+
+
 @query("SELECT sha256(text) AS content_hash, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
 def exact_dup_groups(spark, sf):
     return N.exact_groups(docs(spark, sf).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("content_hash")), "doc_id", "content_hash")
@@ -299,6 +304,7 @@ def _previous(spark, sf):
 _CH = """cur AS (SELECT 'doc-' || (doc_id // 5) AS source_file, doc_id % 5 AS chunk_index, substr(sha256(doc_id::VARCHAR), 1, 16) AS chunk_id, sha256(text) AS content_hash, n_chars AS token_count, source AS title, lang AS language, doc_id FROM documents WHERE doc_id % 11 <> 0),
   old AS (SELECT 'doc-' || (doc_id // 5) AS source_file, doc_id % 5 AS chunk_index, substr(sha256(doc_id::VARCHAR), 1, 16) AS chunk_id, CASE WHEN doc_id % 7 = 0 THEN 'old' ELSE sha256(text) END AS content_hash, n_chars AS token_count, source AS title, lang AS language,
     ['embedded', 'pending', 'deleted'][doc_id % 3 + 1] AS embedding_status, CASE WHEN doc_id % 2 = 0 THEN doc_id::VARCHAR END AS vector_id FROM documents WHERE doc_id % 13 <> 0 AND (doc_id // 5) % 4 <> 1)"""
+_CH_ALL = _CH.replace(" WHERE doc_id % 11 <> 0", "")
 _AGG = "SELECT source_file, sha256(string_agg(chunk_index || ':' || chunk_id || ':' || content_hash, chr(10) ORDER BY chunk_index || ':' || chunk_id || ':' || content_hash)) AS content_hash, count(*) AS total_chunks, arg_min(title, chunk_index) AS title, arg_min(language, chunk_index) AS language, substr(sha256(source_file), 1, 16) AS document_id"
 _DOCS = f"""WITH {_CH}, n AS ({_AGG} FROM cur GROUP BY source_file), p AS ({_AGG}, string_split(source_file, '-')[2]::BIGINT % 3 + 1 AS version, CASE WHEN string_split(source_file, '-')[2]::BIGINT % 10 = 0 THEN 'deleted' ELSE 'unchanged' END AS status FROM old GROUP BY source_file),
   md AS (SELECT coalesce(n.document_id, p.document_id) AS document_id, coalesce(n.source_file, p.source_file) AS source_file, coalesce(n.title, p.title) AS title, coalesce(n.language, p.language) AS language, coalesce(n.content_hash, p.content_hash) AS content_hash, coalesce(n.total_chunks, p.total_chunks)::INT AS total_chunks,
@@ -306,7 +312,7 @@ _DOCS = f"""WITH {_CH}, n AS ({_AGG} FROM cur GROUP BY source_file), p AS ({_AGG
   m AS (SELECT *, CASE WHEN old_version IS NULL THEN 1 WHEN status = 'changed' THEN old_version + 1 ELSE old_version END::INT AS version, CASE WHEN status = 'unchanged' OR status = 'deleted' AND old_status = 'deleted' THEN '2024-01-01' ELSE '{NOW}' END AS last_indexed_at FROM md)"""
 
 
-@query(f"WITH {_CH} SELECT * FROM ({_AGG} FROM cur GROUP BY source_file)")
+@query(f"WITH {_CH_ALL} SELECT * FROM ({_AGG} FROM cur GROUP BY source_file)")
 def document_hash(spark, sf):
     return M.document_hashes(_chunk_rows(spark, sf)).select("source_file", "content_hash", "total_chunks", "title", "language", "document_id")
 
@@ -338,7 +344,7 @@ def index_summary(spark, sf):
     return _built(spark, sf)[2]
 
 
-@query(f"WITH {_CH} SELECT document_id, source_file, content_hash, total_chunks AS chunks, (SELECT sum(token_count) FROM cur c WHERE c.source_file = x.source_file)::BIGINT AS token_count FROM ({_AGG} FROM cur GROUP BY source_file) x")
+@query(f"WITH {_CH_ALL} SELECT document_id, source_file, content_hash, total_chunks AS chunks, (SELECT sum(token_count) FROM cur c WHERE c.source_file = x.source_file)::BIGINT AS token_count FROM ({_AGG} FROM cur GROUP BY source_file) x")
 def document_totals(spark, sf):
     c = _chunk_rows(spark, sf).withColumn("word_count", F.lit(1))
     return M.document_totals(M.document_hashes(c), c).select("document_id", "source_file", "content_hash", "chunks", "token_count")
@@ -428,7 +434,7 @@ _DOTS = "list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) / (sqr
 
 
 def _knn_sql(where="true", k=8, least="-2"):
-    return f"SELECT query_id, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM (SELECT q.vec_id AS query_id, v.vec_id, round({_DOTS}, 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0 AND {where})) WHERE n <= {k} AND score >= {least}"
+    return f"SELECT query_id, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM (SELECT q.vec_id AS query_id, v.vec_id, round({_DOTS}, 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 20 = 0 AND {where})) WHERE n <= {k} AND score >= {least}"
 
 
 def _asked(spark, sf):
@@ -466,7 +472,9 @@ def _hits(spark, sf):
     return out.select(F.shiftright("query_id", 1).alias("query_id"), k.alias("variant_index"), F.concat(F.lit("variant "), k.cast("string")).alias("variant"), "collection", F.col("collection").alias("source"), F.col("vec_id").cast("string").alias("chunk_id"), F.col("vec_id"), "score")
 
 
-_HITS = f"""WITH s AS (SELECT q.vec_id - q.vec_id % 50 AS query_id, (q.vec_id % 50 / 25)::INT AS variant_index, CASE WHEN v.label % 2 = 0 THEN 'even' ELSE 'odd' END AS collection, v.vec_id, round({_DOTS}, 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 25 = 0),
+_HITS = f"""WITH asked AS (SELECT vec_id, 0 AS variant_index, embedding::DOUBLE[] AS embedding FROM embeddings WHERE vec_id % 20 = 0
+    UNION ALL SELECT vec_id, 1, list_transform(embedding, lambda x, i: CASE WHEN i % 2 = 0 THEN x / 2.0::DOUBLE ELSE x END) FROM embeddings WHERE vec_id % 20 = 0),
+  s AS (SELECT q.vec_id AS query_id, q.variant_index, CASE WHEN v.label % 2 = 0 THEN 'even' ELSE 'odd' END AS collection, v.vec_id, round({_DOTS}, 6) AS score FROM asked q, embeddings v),
   h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, variant_index, collection ORDER BY score DESC, vec_id) AS n FROM s) WHERE n <= 12),
   r AS (SELECT *, row_number() OVER (PARTITION BY query_id, collection, vec_id ORDER BY score DESC, variant_index) AS place FROM h WHERE score >= 0.1)"""
 
@@ -535,7 +543,8 @@ _TERMS = "list_distinct(list_filter(regexp_split_to_array(regexp_replace(" + TR.
   FROM (SELECT doc_id, {_TERMS.format('text')} AS w FROM documents) a JOIN (SELECT doc_id, {_TERMS.format('text')} AS w FROM documents) b ON b.doc_id = a.doc_id + 1"""
 )
 def term_overlap(spark, sf):
-    d = docs(spark, sf).select("doc_id", C.terms(F.col("text")).alias("w"))
+    hashed = F.transform(C.terms(F.col("text")), lambda x: F.xxhash64(x))  # 8 bytes a term travel
+    d = docs(spark, sf).select("doc_id", hashed.alias("w"))
     a, b = d.select(F.col("doc_id").alias("a"), F.col("w").alias("x"), (F.col("doc_id") + 1).alias("b")), d.select(F.col("doc_id").alias("b"), F.col("w").alias("y"))
     return a.join(b, "b").select("a", "b", F.round(C.overlap(F.col("x"), F.col("y")), 6).alias("overlap"))
 
@@ -556,13 +565,16 @@ def diversity_metrics(spark, sf):
     return E.diversity_metrics(_results(spark, sf))
 
 
-_SECTION = "CASE " + " ".join(f"WHEN regexp_matches(s, '{p.replace(chr(92) + 'b', '')}') THEN '{n}'" for n, p in C.SECTION_PATTERNS) + " ELSE 'Supporting Evidence' END"
-_WORDS = "['nedir bu', 'bir örnek', 'ayrıca var', 'ilgili konu', 'temel ilke', 'the core', 'plain words', 'an example']"
+_SECTION_WORDS = ("nedir bu", "xnedir", "bir örnek", "ayrıca var", "ilgili konu", "temel ilke", "the core", "plain words", "an example", "score")
+# RE2's \b knows ASCII alone: a boundary is the start or what is no letter, digit or _
+_SECTION = "CASE " + " ".join("WHEN regexp_matches(s, '(?i)" + p.replace(r"nedir\b", r"nedir(?:$|[^\p{L}\p{N}_])").replace(r"\b", r"(?:^|[^\p{L}\p{N}_])") + f"') THEN '{n}'" for n, p in C.SECTION_PATTERNS) + " ELSE 'Supporting Evidence' END"
+_SECTION_OF = f"(doc_id % {len(_SECTION_WORDS)} + 1)"
 
 
-@query(f"SELECT doc_id, {_SECTION} AS section FROM (SELECT doc_id, {_WORDS}[doc_id % 8 + 1] AS s FROM documents)")
+@query(f"SELECT doc_id, {_SECTION} AS section FROM (SELECT doc_id, {list(_SECTION_WORDS)}[{_SECTION_OF}] || ' ' || coalesce(text, '') AS s FROM documents)")
 def section_labels(spark, sf):
-    words = F.element_at(F.array(*map(F.lit, eval(_WORDS))), (F.col("doc_id") % 8 + 1).cast("int"))
+    first = F.element_at(F.array(*map(F.lit, _SECTION_WORDS)), F.expr(_SECTION_OF).cast("int"))
+    words = F.concat(first, F.lit(" "), F.coalesce("text", F.lit("")))
     return docs(spark, sf).select("doc_id", C.section_label(F.lit(None).cast("string"), F.array().cast("array<string>"), words).alias("section"))
 
 

@@ -36,38 +36,64 @@ def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hou
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "events", "total")
 
 
-def crawl_levels(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], policy: SourcePolicy, root: str, max_pages: int = 10_000, visited: DataFrame | None = None) -> DataFrame:
+STATE = "kind string, url string, depth int, ok boolean, canonical_url string"
+
+
+def is_page(status, content_type):
+    """Whether a response is stored: success, and HTML by its content type."""
+    return F.coalesce(status.between(200, 299) & F.contains(F.lower(content_type), F.lit("text/html")), F.lit(False))
+
+
+def crawl_levels(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], policy: SourcePolicy, root: str, max_pages: int = 10_000, visited: DataFrame | None = None, retries: int = 0, resume: bool = True) -> DataFrame:
     """Breadth first: each level's admitted URLs that weren't visited are
     fetched together, and their links are the next level. fetch((url, depth))
-    -> (url, canonical_url, links, ok). Frontier and visited set are written
-    after each level, so a crawl goes on where it stopped. Rows: url, depth, ok."""
+    -> (url, canonical_url, links, ok); what isn't ok is fetched again up to
+    `retries` times. Visited set and next level are one snapshot, written after
+    each level: a crawl that was stopped goes on from the last whole level of
+    `root` (unless `resume` is off). Rows: url, depth, ok."""
     spark = seeds.sparkSession
-    schema = "url string, depth int, ok boolean, canonical_url string"
-    seen = visited if visited is not None else spark.createDataFrame([], schema)
-    frontier = seeds.select(normalize_url(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
-    done, depth = 0, 0
-    while depth <= policy.max_depth:
+    state = sinks.read_snapshot(spark, f"{root}/state", STATE) if resume else spark.createDataFrame([], STATE)
+    columns = ["url", "depth", "ok", "canonical_url"]
+    seen = state.where("kind = 'seen'").select(*columns)
+    if visited is not None:
+        seen = seen.unionByName(visited.select(*columns).join(seen.select("url"), "url", "left_anti"))
+    reached = state.agg(F.max("depth")).first()[0]
+    if reached is None:
+        frontier, depth, done = seeds.select(normalize_url(F.col("url")).alias("url")).where("url IS NOT NULL").distinct(), 0, 0
+    else:
+        frontier, depth, done = state.where("kind = 'next'").select("url"), reached, state.where("kind = 'seen'").count()
+    while depth <= policy.max_depth and done < max_pages:
         known = seen.select("url").union(seen.where("canonical_url IS NOT NULL").select("canonical_url"))
         todo = frontier.join(known, "url", "left_anti").where(is_admitted(F.col("url"), F.lit(depth), policy)).distinct().orderBy("url").limit(max_pages - done).withColumn("depth", F.lit(depth))
-        got = fetch(todo).select("url", normalize_url(F.col("canonical_url")).alias("canonical_url"), "links", "ok").join(todo, "url")
-        path = sinks.write_snapshot(got, f"{root}/level-{depth}")
-        got = spark.read.parquet(path)
+        todo = sinks.materialize(todo)
+        got, left = None, todo
+        for _ in range(retries + 1):
+            tried = sinks.materialize(fetch(left).select("url", normalize_url(F.col("canonical_url")).alias("canonical_url"), "links", "ok").join(left, "url"))
+            got = tried if got is None else got.join(tried.select("url"), "url", "left_anti").unionByName(tried)
+            left = tried.where("NOT ok").select("url", "depth")
+            if left.isEmpty():
+                break
         n = got.count()
         if not n:
             break
         done += n
         # a page whose canonical form was visited before is skipped with its links
         fresh = got.join(known.withColumnRenamed("url", "canonical_url"), "canonical_url", "left_anti")
-        seen = seen.unionByName(got.select("url", "depth", "ok", "canonical_url"))
-        seen = spark.read.parquet(sinks.write_snapshot(seen, f"{root}/visited"))
-        frontier = fresh.where("ok").select(F.explode("links").alias("url")).select(normalize_url(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
-        frontier = spark.read.parquet(sinks.write_snapshot(frontier, f"{root}/frontier"))
+        links = fresh.where("ok").select(F.explode("links").alias("url")).select(normalize_url(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
         depth += 1
-        if done >= max_pages:
-            break
+        none = [F.lit(None).cast("boolean").alias("ok"), F.lit(None).cast("string").alias("canonical_url")]
+        own = seen.unionByName(got.select(*columns)).select(F.lit("seen").alias("kind"), *columns)
+        sinks.write_snapshot(own.unionByName(links.select(F.lit("next").alias("kind"), "url", F.lit(depth).alias("depth"), *none)), f"{root}/state")
+        state = sinks.read_snapshot(spark, f"{root}/state", STATE)
+        seen, frontier = state.where("kind = 'seen'").select(*columns), state.where("kind = 'next'").select("url")
     return seen.select("url", "depth", "ok")
 
 
+def crawl_failures(spark: SparkSession, root: str) -> DataFrame:
+    """URLs of a crawl that couldn't be fetched, with their depth."""
+    return sinks.read_snapshot(spark, f"{root}/state", STATE).where("kind = 'seen' AND NOT ok").select("url", "depth")
+
+
 def remaining(targets: DataFrame, completed: DataFrame, key) -> DataFrame:
     """Targets that weren't completed yet."""
     return targets.join(completed.select(*key), list(key), "left_anti")

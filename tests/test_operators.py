@@ -267,3 +267,34 @@ def test_crawl_levels(spark, tmp_path):
     fetch = lambda level: level.join(table, "url", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
     got = incremental.crawl_levels(spark.createDataFrame([("http://x.e",)], "url string"), fetch, urls.SourcePolicy(("x.e",), max_depth=2), str(tmp_path))
     assert sorted((r.url, r.depth) for r in got.collect()) == [("http://x.e/", 0), ("http://x.e/a", 1), ("http://x.e/b", 1), ("http://x.e/c", 2)]
+
+
+def test_crawl_goes_on_where_it_stopped(spark, tmp_path):
+    table = spark.createDataFrame([("http://x.e/", ["http://x.e/a", "http://x.e/b"]), ("http://x.e/a", ["http://x.e/c"]), ("http://x.e/b", []), ("http://x.e/c", [])], "url string, links array<string>").withColumn("canonical_url", F.lit(None).cast("string"))
+    seeds, asked = spark.createDataFrame([("http://x.e",)], "url string"), []
+
+    def fetch(level):
+        rows = level.collect()
+        asked.append(sorted(r.url for r in rows))
+        if rows and rows[0].depth == 1 and len(asked) == 2:
+            raise OSError("stopped")
+        return level.join(table, "url", "left").withColumn("ok", F.col("links").isNotNull() & ~((F.col("url") == "http://x.e/b") & F.lit(len(asked) < 4)))
+
+    with pytest.raises(OSError):
+        incremental.crawl_levels(seeds, fetch, urls.SourcePolicy(("x.e",), max_depth=2), str(tmp_path))
+    got = incremental.crawl_levels(seeds, fetch, urls.SourcePolicy(("x.e",), max_depth=2), str(tmp_path), retries=1)
+    assert asked == [["http://x.e/"], ["http://x.e/a", "http://x.e/b"], ["http://x.e/a", "http://x.e/b"], ["http://x.e/b"], ["http://x.e/c"]]
+    assert sorted((r.url, r.depth, r.ok) for r in got.collect()) == [("http://x.e/", 0, True), ("http://x.e/a", 1, True), ("http://x.e/b", 1, True), ("http://x.e/c", 2, True)]
+    assert incremental.crawl_failures(spark, str(tmp_path)).count() == 0
+
+
+def test_only_successful_html_is_a_page(spark):
+    df = spark.createDataFrame([(200, "text/html; charset=utf-8"), (204, "TEXT/HTML"), (301, "text/html"), (200, "application/pdf"), (None, None)], "s int, c string")
+    assert [r.p for r in df.select(incremental.is_page(F.col("s"), F.col("c")).alias("p")).collect()] == [True, True, False, False, False]
+
+
+def test_repeated_page_ids_stay_rows(spark):
+    rows = [(1, "http://x/a", page(f"<article><h1>A</h1><p>{words(180)}</p></article>"))] * 2 + [(2, "http://x/b", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((r.page_id, r.url) for r in pages.page_quality(df).collect()) == [(1, "http://x/a"), (1, "http://x/a"), (2, "http://x/b")]
+    assert len({r.chunk_index for r in etl.pages_to_chunks(df).where("source_file = 'page-1.md'").collect()}) * 2 == etl.pages_to_chunks(df).where("source_file = 'page-1.md'").count()

@@ -17,35 +17,26 @@ def db():
     con = duckdb.connect()
     for name in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
-    con.execute("CREATE VIEW asked AS SELECT vec_id, 0 AS variant_index, embedding::DOUBLE[] AS embedding FROM embeddings WHERE vec_id % 20 = 0 UNION ALL SELECT vec_id, 1, list_transform(embedding, lambda x, i: CASE WHEN i % 2 = 0 THEN x / 2.0::DOUBLE ELSE x END) FROM embeddings WHERE vec_id % 20 = 0")
     yield con
     con.close()
 
 
-def swapped(sql, *pairs):
-    for old, new in pairs:
-        assert old in sql
-        sql = sql.replace(old, new)
-    return sql
-
-
-def same(spark, sf_dir, db, name, *pairs):
+def same(spark, sf_dir, db, name):
     got = QUERIES[name](spark, sf_dir)
-    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({swapped(ORACLE[name], *pairs)})").fetchall()
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE[name]})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want)
     return want
 
 
 @pytest.mark.parametrize("name", ["knn_topk", "knn_filtered", "knn_threshold"])
 def test_searches_ask_every_twentieth_id(spark, sf_dir, db, name):
-    want = same(spark, sf_dir, db, name, ("q.vec_id % 50 = 0", "q.vec_id % 20 = 0"))
+    want = same(spark, sf_dir, db, name)
     assert {r[0] for r in want} == set(range(0, 500, 20))
 
 
 @pytest.mark.parametrize("name", ["multi_variant_best", "dropped_candidates", "cap_per_document", "diversity_metrics"])
 def test_hits_have_two_variants_of_every_twentieth_id(spark, sf_dir, db, name):
-    variants = ("q.vec_id - q.vec_id % 50 AS query_id, (q.vec_id % 50 / 25)::INT AS variant_index", "q.vec_id AS query_id, q.variant_index")
-    want = same(spark, sf_dir, db, name, variants, ("FROM embeddings q, embeddings v WHERE q.vec_id % 25 = 0", "FROM asked q, embeddings v"))
+    want = same(spark, sf_dir, db, name)
     assert {r[0] for r in want} == set(range(0, 500, 20))
 
 
@@ -56,7 +47,7 @@ def test_results_answer_every_twentieth_id(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["document_hash", "document_totals"])
 def test_documents_are_hashed_whole(spark, sf_dir, db, name):
-    same(spark, sf_dir, db, name, (" WHERE doc_id % 11 <> 0", ""))
+    same(spark, sf_dir, db, name)
     column = "total_chunks" if name == "document_hash" else "chunks"
     assert QUERIES[name](spark, sf_dir).selectExpr(f"sum({column})").first()[0] == db.execute("SELECT count(*) FROM documents").fetchone()[0]
 
@@ -67,7 +58,7 @@ def test_manifests_still_see_deleted_rows(spark, sf_dir, db, name):
 
 
 def test_texts_are_escaped_whole(spark, sf_dir, db):
-    same(spark, sf_dir, db, "scalar_functions", ("substr(text, 1, 60)", "text"))
+    same(spark, sf_dir, db, "scalar_functions")
 
 
 def test_questions_are_whole(spark, sf_dir, db):
@@ -81,7 +72,7 @@ def test_questions_are_whole(spark, sf_dir, db):
         assert got[i].original_query == want["original_query"] and got[i].expanded_queries == want["expanded_queries"] and [e.value for e in got[i].detected_entities] == [e["value"] for e in want["detected_entities"]]
 
 
-@pytest.mark.parametrize("name", ["token_frequency", "simhash", "near_dup_pairs", "duplicate_tokens"])
+@pytest.mark.parametrize("name", ["token_frequency", "simhash", "near_dup_pairs", "near_dup_members", "duplicate_tokens", "section_labels", "term_overlap"])
 def test_tokens_without_other_forms_agree_with_sql(spark, sf_dir, db, name):
     same(spark, sf_dir, db, name)
 
