@@ -124,10 +124,10 @@ def _blocks(batches, size: int):
         yield block()
 
 
-def _distinct(split: list[list[str]], buckets: int) -> tuple[list[str], np.ndarray]:
+def _distinct(texts, buckets: int) -> tuple[list[str], np.ndarray]:
     """A block's distinct words dealt to buckets and sorted there (sorted lists
     compress better), and where each bucket ends."""
-    words = sorted(set(chain.from_iterable(split)))
+    words = sorted(set(chain.from_iterable(marked_words(x or "") for x in texts)))
     own = np.fromiter((crc32(w.encode()) % buckets for w in words), np.int64, len(words))
     return [words[i] for i in np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=buckets))
 
@@ -143,7 +143,7 @@ def word_lists(docs: DataFrame, buckets: list[int], block: int = BLOCK) -> DataF
 
     def run(batches):
         for name, t in _blocks(batches, block):
-            words, ends = _distinct([marked_words(x or "") for x in t.column(1).to_pylist()], len(buckets))
+            words, ends = _distinct((x.as_py() for x in t.column(1)), len(buckets))
             starts = np.concatenate([[0], ends[:-1]])
             rows = [(name, k, _pack(" ".join(words[a:z]).encode())) for k, a, z in zip(buckets, starts, ends) if z > a]
             if rows:
@@ -190,9 +190,9 @@ def segmented(lists: DataFrame, path: str, buckets: int) -> DataFrame:
     return lists.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, PARCEL)
 
 
-def _known(parcels: dict, split: list[list[str]], buckets: list[int], m: Model) -> dict:
+def _known(parcels: dict, texts, buckets: list[int], m: Model) -> dict:
     """A block's words with ids and decoded texts, by position in its lists."""
-    words, ends = _distinct(split, len(buckets))
+    words, ends = _distinct(texts, len(buckets))
     known, a = {}, 0
     for k, z in zip(buckets, ends.tolist()):
         if z > a and k in parcels:
@@ -235,7 +235,7 @@ def joined(parcels: DataFrame, path: str, buckets: list[int] | tuple = (0,)) ->
     def finish(texts, lists, m):
         for data in texts:
             t = pa.ipc.open_stream(data).read_all().combine_chunks()
-            known = _known(lists, [marked_words(x or "") for x in t.column(1).to_pylist()], buckets, m)
+            known = _known(lists, (x.as_py() for x in t.column(1)), buckets, m)
             for part in _runs(t):
                 split = [[known[w] for w in marked_words(x or "")] for x in part.column(1).to_pylist()]
                 yield _coded(part.column(0), [np.frombuffer(b"".join([x for x, _ in s]), np.int32) for s in split], [" ".join([y for _, y in s]) for s in split])
@@ -252,6 +252,8 @@ def joined(parcels: DataFrame, path: str, buckets: list[int] | tuple = (0,)) ->
             else:
                 lists[bucket] = data
         yield from finish(texts, lists, m)
+        texts, lists = [], {}
+        pa.default_memory_pool().release_unused()
 
     return parcels.repartition(len(buckets), "block").sortWithinPartitions("block", "bucket").mapInArrow(run, SCHEMA)
 
