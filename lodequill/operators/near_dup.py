@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +18,16 @@ from ..sources.sinks import materialize
 BLOCKS = (11, 11, 11, 11, 10, 10)  # bits of a SimHash, from the low end
 
 
+def _counted(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, code and count of each row's distinct tokens, sorted by row, and the
+    tokens of the codes."""
+    words = lists.flatten().dictionary_encode()
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    width = max(1, len(words.dictionary))
+    pairs, n = np.unique(np.repeat(np.arange(len(lists)), lengths) * width + words.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    return pairs // width, pairs % width, n, words.dictionary
+
+
 def token_frequency(docs: DataFrame, tokens: Column, key: str) -> DataFrame:
     """(key, token, n) of each row. A row's tokens are at hand, so they are
     counted inside the row and nothing is shuffled."""
@@ -25,10 +35,8 @@ def token_frequency(docs: DataFrame, tokens: Column, key: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            counts = [Counter(x) for x in b.column(1).to_pylist() if x]
-            at = np.repeat([i for i, x in enumerate(b.column(1).to_pylist()) if x], [len(c) for c in counts]).astype(np.int64)
-            words = [w for c in counts for w in c]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(words, pa.string()), pa.array([n for c in counts for n in c.values()], pa.int64())], [key, "token", "n"])
+            row, code, n, words = _counted(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), words.take(pa.array(code)).cast(pa.string()), pa.array(n.astype(np.int64))], [key, "token", "n"])
 
     return docs.select(key, tokens.alias("tokens")).mapInArrow(run, f"`{key}` {kind}, token string, n long")
 
@@ -38,23 +46,28 @@ def _bits(token: str) -> bytes:
     return hashlib.sha256(token.encode()).digest()[:8]
 
 
-def _vote(tokens) -> int:
-    """The signed 64 bits of a token list."""
-    if tokens is None or not len(tokens):
-        return -1
-    counts = Counter(tokens)
-    bits = np.unpackbits(np.frombuffer(b"".join(map(_bits, counts)), np.uint8).reshape(len(counts), 8), axis=1)
-    votes = np.fromiter(counts.values(), np.int64, len(counts)) @ bits
-    return int(np.packbits(2 * votes >= len(tokens)).view(">i8")[0])
+def _votes(lists: pa.Array) -> np.ndarray:
+    """The signed 64 bits of each token list."""
+    out = np.full(len(lists), -1, np.int64)
+    row, code, n, words = _counted(lists)
+    if not len(row):
+        return out
+    bits = np.frombuffer(b"".join(map(_bits, words.to_pylist())), np.uint8).reshape(-1, 8)
+    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    ends = np.append(starts[1:], len(row))
+    for a, z in zip(starts.tolist(), ends.tolist()):
+        votes = n[a:z] @ np.unpackbits(bits[code[a:z]], axis=1)
+        out[row[a]] = np.packbits(2 * votes >= n[a:z].sum()).view(">i8")[0]
+    return out
 
 
 def simhash_of(tokens: Column) -> Column:
     """Each distinct token votes with its frequency on 64 bits of its SHA-256;
     ties and texts without tokens set a bit. Votes are counted inside the row."""
 
-    @F.pandas_udf("long")
-    def run(rows: pd.Series) -> pd.Series:
-        return rows.map(_vote, na_action=None).astype("int64")
+    @F.arrow_udf("long")
+    def run(rows: pa.Array) -> pa.Array:
+        return pa.array(_votes(rows))
 
     return run(tokens)
 
@@ -94,7 +107,7 @@ def near_pairs(hashed: DataFrame, key: str, distance: int = 3) -> DataFrame:
     masks = [sum(((1 << BLOCKS[i]) - 1) << starts[i] for i in three) for three in combinations(range(len(BLOCKS)), 3)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.posexplode(F.array(*[F.col("simhash").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("table", "value")
-    rows = classes(hashed, key).select("id", "simhash", keys)
+    rows = materialize(classes(hashed, key)).select("id", "simhash", keys)  # both sides read it
     x, y = rows.alias("x"), rows.alias("y")
     d = hamming(F.col("x.simhash"), F.col("y.simhash"))
     close = (F.col("x.table") == F.col("y.table")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")) & (d <= distance)
