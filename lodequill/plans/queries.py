@@ -48,6 +48,16 @@ def docs(spark, sf):
     return t(spark, sf, "documents")
 
 
+def texts(spark, sf):
+    """Documents for work on whole texts, on all cores."""
+    return readers.spread(docs(spark, sf))
+
+
+def sites(spark, sf):
+    """Pages, likewise."""
+    return readers.spread(t(spark, sf, "pages"))
+
+
 TR = "lower(translate({}, 'Iİ', 'ıi'))"
 TOKENS = "regexp_extract_all(" + TR.format("text") + r", '[\p{L}\p{N}]{3,}')[:8000]"
 
@@ -67,7 +77,7 @@ PLAIN_SQL = f"regexp_replace({nested('text', T.PLAIN_STEPS)}, '^\\s+|\\s+$', '',
 @query(r"SELECT doc_id, len(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS words, len(regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’][\p{L}\p{N}]+)?')) AS words_apostrophe, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) AS tokens FROM documents")
 def word_count(spark, sf):
     x = F.col("text")
-    return docs(spark, sf).select("doc_id", T.word_count(x).alias("words"), T.word_count_apostrophe(x).alias("words_apostrophe"), T.token_count(x).alias("tokens"))
+    return texts(spark, sf).select("doc_id", T.word_count(x).alias("words"), T.word_count_apostrophe(x).alias("words_apostrophe"), T.token_count(x).alias("tokens"))
 
 
 @query("SELECT doc_id, sha256(text) AS content_hash, substr(sha256(text), 1, 16) AS short_hash FROM documents")
@@ -78,23 +88,23 @@ def content_hash(spark, sf):
 @query(f"SELECT doc_id, sha256({PLAIN_SQL}) AS plain_hash, length({PLAIN_SQL}) AS plain_chars FROM documents")
 def plain_text(spark, sf):
     p = T.plain_text(F.col("text"))
-    return docs(spark, sf).select("doc_id", F.sha2(p.cast("binary"), 256).alias("plain_hash"), F.length(p).alias("plain_chars"))
+    return texts(spark, sf).select("doc_id", F.sha2(p.cast("binary"), 256).alias("plain_hash"), F.length(p).alias("plain_chars"))
 
 
 @query()
 def snippets(spark, sf):
-    return docs(spark, sf).select("doc_id", T.snippet(F.col("text")).alias("snippet"))
+    return texts(spark, sf).select("doc_id", T.snippet(F.col("text")).alias("snippet"))
 
 
 @query()
 def excerpts(spark, sf):
-    return docs(spark, sf).select("doc_id", U.excerpted(F.col("text")).alias("excerpt"))
+    return texts(spark, sf).select("doc_id", U.excerpted(F.col("text")).alias("excerpt"))
 
 
 @query(f"SELECT doc_id, len({TOKENS}) AS tokens, CASE WHEN len({TOKENS}) > 0 THEN round((len({TOKENS}) - len(list_distinct({TOKENS}))) * 100.0::DOUBLE / len({TOKENS}), 6) ELSE 0 END AS duplicate_percentage FROM documents")
 def duplicate_tokens(spark, sf):
     k = T.similarity_tokens(F.col("text"), form=U.nfkc)
-    return docs(spark, sf).select("doc_id", F.size(k).alias("tokens"), F.round(T.duplicate_percentage(k), 6).alias("duplicate_percentage"))
+    return texts(spark, sf).select("doc_id", F.size(k).alias("tokens"), F.round(T.duplicate_percentage(k), 6).alias("duplicate_percentage"))
 
 
 @query(
@@ -136,7 +146,7 @@ _OWN = "scheme || '://' || host || path || CASE WHEN q = '' THEN '' ELSE '?' ||
 
 @query(f"SELECT page_id, {_OWN} AS normalized, nullif(lower(regexp_extract(path, '^/*([^/]+)', 1)), '') AS language FROM ({_NORM})")
 def url_normalize(spark, sf):
-    return t(spark, sf, "pages").select("page_id", L.normalize_url(F.col("url")).alias("normalized"), L.url_language(F.col("url")).alias("language"))
+    return sites(spark, sf).select("page_id", L.normalize_url(F.col("url")).alias("normalized"), L.url_language(F.col("url")).alias("language"))
 
 
 _INFRA = f"""(path IN {L.BLOCKED_PATHS} OR starts_with(path, '/component/') OR starts_with(path, '/tag/') OR regexp_matches(path, '(?i)(?:^|[/_.-])(?:click|banner|adclick|advert|share|print)(?:[/_.-]|$)')
@@ -159,7 +169,7 @@ def url_admit(spark, sf):
     r"""SELECT page_id, trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&')) AS title, len(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1)))::INT AS links FROM pages"""
 )
 def page_links(spark, sf):
-    return P.page_links(t(spark, sf, "pages")).select("page_id", "title", F.size("links").alias("links"))
+    return P.page_links(sites(spark, sf)).select("page_id", "title", F.size("links").alias("links"))
 
 
 @query(
@@ -177,25 +187,25 @@ def robots_allowed(spark, sf):
 
 @query()
 def page_quality(spark, sf):
-    return P.page_quality(t(spark, sf, "pages")).drop("tokens")
+    return P.page_quality(sites(spark, sf)).drop("tokens")
 
 
 @query()
 def quality_decisions(spark, sf):
     """Measured pages with near-duplicates resolved in arrival order."""
-    q = P.page_quality(t(spark, sf, "pages"), 40, 50)
+    q = P.page_quality(sites(spark, sf), 40, 50)
     h = q.withColumn("simhash", N.simhash_of(F.col("tokens"))).withColumn("fetched_at", F.col("page_id")).drop("tokens")
     return N.resolve(h).select("page_id", "url", "classification", "quality_score", "status", "duplicate_of")
 
 
 @query()
 def extracted_pages(spark, sf):
-    return P.extract_pages(t(spark, sf, "pages"))
+    return P.extract_pages(sites(spark, sf))
 
 
 @query()
 def page_markdown(spark, sf):
-    return P.markdown_pages(P.extract_pages(t(spark, sf, "pages")))
+    return P.markdown_pages(P.extract_pages(sites(spark, sf)))
 
 
 def _decisions(spark, sf):
@@ -238,22 +248,22 @@ _HASHED = f"""(WITH f AS (SELECT doc_id, token, count(*) AS n, ('0x' || substr(s
 
 @query(f"SELECT doc_id, token, count(*) AS n FROM ({_SIM}) GROUP BY doc_id, token")
 def token_frequency(spark, sf):
-    return N.token_frequency(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id")
+    return N.token_frequency(texts(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id")
 
 
 @query(f"SELECT doc_id, lpad(lower(to_hex(simhash)), 16, '0') AS simhash FROM {_HASHED}")
 def simhash(spark, sf):
-    return N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id").select("doc_id", N.simhash_hex(F.col("simhash")).alias("simhash"))
+    return N.simhash(texts(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id").select("doc_id", N.simhash_hex(F.col("simhash")).alias("simhash"))
 
 
 @query(f"WITH c AS (SELECT simhash, min(doc_id) AS id FROM {_HASHED} GROUP BY simhash) SELECT x.id AS a, y.id AS b, bit_count(xor(x.simhash, y.simhash))::INT AS distance FROM c x JOIN c y ON x.id < y.id AND bit_count(xor(x.simhash, y.simhash)) <= 3")
 def near_dup_pairs(spark, sf):
-    return N.near_pairs(N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
+    return N.near_pairs(N.simhash(texts(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
 
 
 @query(f"SELECT doc_id, min(doc_id) OVER (PARTITION BY simhash) AS class_id FROM {_HASHED}")
 def near_dup_members(spark, sf):
-    return N.members(N.simhash(docs(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
+    return N.members(N.simhash(texts(spark, sf), T.similarity_tokens(F.col("text"), form=U.nfkc), "doc_id"), "doc_id")
 
 
 @query("SELECT sha256(text) AS content_hash, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -266,12 +276,12 @@ def exact_dup_groups(spark, sf):
 
 @query()
 def chunks(spark, sf):
-    return etl.documents_to_chunks(docs(spark, sf)).drop("markdown", "plain_text")
+    return etl.documents_to_chunks(texts(spark, sf)).drop("markdown", "plain_text")
 
 
 @query()
 def page_chunks(spark, sf):
-    return etl.pages_to_chunks(t(spark, sf, "pages")).drop("markdown", "plain_text")
+    return etl.pages_to_chunks(sites(spark, sf)).drop("markdown", "plain_text")
 
 
 def _chunk_rows(spark, sf):
@@ -526,7 +536,7 @@ def query_plans(spark, sf):
   FROM (SELECT doc_id, regexp_extract_all(text, '[a-zA-Z]+') AS w FROM documents) WHERE len(w) >= 3)"""
 )
 def title_bonus(spark, sf):
-    w = docs(spark, sf).select("doc_id", F.regexp_extract_all("text", F.lit("[a-zA-Z]+"), F.lit(0)).alias("w")).where("size(w) >= 3")
+    w = texts(spark, sf).select("doc_id", F.regexp_extract_all("text", F.lit("[a-zA-Z]+"), F.lit(0)).alias("w")).where("size(w) >= 3")
     k = F.col("doc_id") % 4
     three = F.array_join(F.slice("w", 1, 3), " ")
     q = F.when(k == 0, three).when(k == 1, F.element_at("w", 1)).when(k == 2, F.element_at("w", 3)).otherwise("zzz")
@@ -544,7 +554,7 @@ _TERMS = "list_distinct(list_filter(regexp_split_to_array(regexp_replace(" + TR.
 )
 def term_overlap(spark, sf):
     hashed = F.transform(C.terms(F.col("text")), lambda x: F.xxhash64(x))  # 8 bytes a term travel
-    d = docs(spark, sf).select("doc_id", hashed.alias("w"))
+    d = texts(spark, sf).select("doc_id", hashed.alias("w"))
     a, b = d.select(F.col("doc_id").alias("a"), F.col("w").alias("x"), (F.col("doc_id") + 1).alias("b")), d.select(F.col("doc_id").alias("b"), F.col("w").alias("y"))
     return a.join(b, "b").select("a", "b", F.round(C.overlap(F.col("x"), F.col("y")), 6).alias("overlap"))
 
@@ -575,7 +585,7 @@ _SECTION_OF = f"(doc_id % {len(_SECTION_WORDS)} + 1)"
 def section_labels(spark, sf):
     first = F.element_at(F.array(*map(F.lit, _SECTION_WORDS)), F.expr(_SECTION_OF).cast("int"))
     words = F.concat(first, F.lit(" "), F.coalesce("text", F.lit("")))
-    return docs(spark, sf).select("doc_id", C.section_label(F.lit(None).cast("string"), F.array().cast("array<string>"), words).alias("section"))
+    return texts(spark, sf).select("doc_id", C.section_label(F.lit(None).cast("string"), F.array().cast("array<string>"), words).alias("section"))
 
 
 @query(
@@ -668,7 +678,7 @@ def page_targets(spark, sf):
 
 
 def _service(spark, sf):
-    c = etl.documents_to_chunks(docs(spark, sf))
+    c = etl.documents_to_chunks(texts(spark, sf))
     embed = V.hash_embedder()
     vec = V.embed_texts(c, "chunk_id", "plain_text", embed)
     d, e, _ = M.build(c, spark.createDataFrame([], M.DOCUMENTS), spark.createDataFrame([], M.CHUNKS), NOW)

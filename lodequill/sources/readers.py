@@ -15,6 +15,20 @@ VECTOR_FILE = "chunkId string, contentHash string, model string, dimensions int,
 QUESTION = "id string, category string, question string, difficulty string"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for work that is heavy for their size (Python, regular expressions).
+    A table in fewer files than there are cores, and smaller than a scan task's
+    share on each, can have all its rows in one row group, hence in one task; it
+    is dealt to all cores. Any larger table is left as its scan splits it."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    share = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= cores * share or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def read_tree(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     """(path, relative_path, text) of all files below root with a suffix."""
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").text(root, wholetext=True)
