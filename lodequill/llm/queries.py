@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..sources.readers import spread
 from . import exact_dedup, exact_topk, html_text, language_id, minhash_neardup, mixing, quality_crf, sentencepiece_codec, token_counts, warc
 from .common import table
 
@@ -15,7 +16,7 @@ def op3_exact_dedup(spark, sf_dir):
 
 
 def op4_token_counts(spark, sf_dir):
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return token_counts.count_tokens(spread(table(spark, sf_dir, "documents")))
 
 
 def op8_sentencepiece(spark, sf_dir):
@@ -40,12 +41,12 @@ def op9_minhash_neardup(spark, sf_dir):
 
 def op1_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return language_id.identify(docs, language_id.fit(docs))
+    return language_id.identify(spread(docs), language_id.fit(docs))
 
 
 def op6_quality_crf(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return quality_crf.score(docs, quality_crf.fit(docs, table(spark, sf_dir, "labels")))
+    return quality_crf.score(spread(docs), quality_crf.fit(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_token_counts, op8_sentencepiece, op10_html_text, op5_warc, op7_exact_topk, op9_minhash_neardup, op1_language_id, op6_quality_crf)}
