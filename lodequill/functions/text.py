@@ -137,6 +137,17 @@ def html_escape(text: Column) -> Column:
     return text
 
 
+def redact_url(url: Column) -> Column:
+    """Nothing secret stays: user, password and the values of all parameters,
+    each name once, are replaced."""
+    hidden = "%5Bredacted%5D"
+    user = F.regexp_replace(F.regexp_replace(url, r"^([A-Za-z][\w+.-]*://)[^/?#@:]+(?=[^/?#@]*@)", "$1" + hidden), r"^([A-Za-z][\w+.-]*://[^/?#@:]*:)[^/?#@]+@", "$1" + hidden + "@")
+    asked = F.regexp_extract(user, r"^[^?#]*\?([^#]*)", 1)
+    names = F.transform(F.filter(F.split(asked, "&"), lambda p: p != ""), lambda p: F.concat(F.substring_index(p, "=", 1), F.lit("=" + hidden)))
+    head, rest = F.regexp_extract(user, r"^([^?#]*)", 1), F.regexp_extract(user, r"(#.*)$", 1)
+    return F.when(asked == "", user).otherwise(F.concat(head, F.lit("?"), F.array_join(F.array_distinct(names), "&"), rest))
+
+
 def error_category(message: Column, status: Column, code: Column) -> Column:
     """Category and whether to try again of a failed embedding call."""
     m, c = F.lower(message), F.lower(F.coalesce(code, F.lit("")))

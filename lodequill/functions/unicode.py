@@ -229,6 +229,10 @@ def normalized(col):
     return _text_udf(normalize_text)(col)
 
 
+def normalized_query(col):
+    return _text_udf(normalize_query)(col)
+
+
 def nfkc(col):
     return _text_udf(lambda x: unicodedata.normalize("NFKC", x))(col)
 

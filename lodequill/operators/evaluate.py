@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import half_up
@@ -77,10 +77,11 @@ def stats(documents: DataFrame, manifest: DataFrame, vectors_: DataFrame) -> Dat
     return one_row(d, m, vectors_.agg(F.count(F.lit(1)).alias("vectors")))
 
 
-def throughput(measurements: DataFrame, keep: int = 50) -> DataFrame:
-    """The last `keep` measurements with items a second."""
-    last = measurements.orderBy(F.desc("at")).limit(keep)
-    return last.withColumn("per_second", F.when(F.col("seconds") > 0, F.col("items") / F.col("seconds")).otherwise(F.col("items").cast("double")))
+def throughput(measurements: DataFrame, keep: int = 50, appended: str = "at") -> DataFrame:
+    """The `keep` measurements that were appended last, by time, with items a
+    second."""
+    last = measurements.orderBy(F.desc(appended)).limit(keep)
+    return last.orderBy("at").withColumn("per_second", F.when(F.col("seconds") > 0, F.col("items") / F.col("seconds")).otherwise(F.col("items").cast("double")))
 
 
 def run_evaluation(questions: DataFrame, answer) -> DataFrame:
@@ -96,3 +97,55 @@ def search_report(results: DataFrame, chunks: DataFrame) -> DataFrame:
     c = chunks.select("chunk_id", F.col("title").alias("c_title"), F.col("url").alias("c_url"), F.col("markdown").alias("c_md"))
     j = results.join(c, "chunk_id", "left")
     return j.select("query_id", "rank", "chunk_id", F.coalesce("title", "c_title").alias("title"), F.coalesce("url", "c_url").alias("url"), "similarity_score", snippet(F.coalesce(F.nullif("markdown", F.lit("")), "c_md")).alias("snippet"))
+
+
+VALIDATED = 20  # results that a validation looks at
+
+
+def rerank_by_title(queries: DataFrame, hits: DataFrame, most: int = VALIDATED) -> DataFrame:
+    """hits (query_id, chunk_id, document_id, chunk_index, title, score, ..) of
+    the queries (query_id, question) by score and title bonus."""
+    from ..functions.text import title_bonus
+    from ..functions.unicode import titled
+
+    asked = queries.where(F.trim("question") != "").select("query_id", titled(F.trim("question")).alias("asked"))
+    j = hits.join(asked, "query_id").withColumn("title_match_bonus", title_bonus(F.col("asked"), titled(F.coalesce("title", F.lit("")))))
+    j = j.withColumn("reranked_score", F.col("score") + F.col("title_match_bonus")).drop("asked")
+    w = Window.partitionBy("query_id").orderBy(F.desc("reranked_score"), "document_id", "chunk_index", "chunk_id")
+    return j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+
+
+def likely_cause(report: DataFrame, filtered: bool = False) -> str:
+    """Why a search has no results, from the one row of `diagnostics`."""
+    r = report.first()
+    causes = {
+        "the collection has no vectors": r.vectors == 0,
+        "no chunks are marked embedded": r.embedded_chunks == 0,
+        "some chunks were not embedded or uploaded yet": r.pending_chunks > 0,
+        "some embedded chunks have no vectors in the collection": r.missing_vectors > 0,
+        "nothing matches the filters": filtered,
+    }
+    return next((text for text, holds in causes.items() if holds), "no vector reaches the threshold")
+
+
+def validate_search(queries: DataFrame, hits: DataFrame, report: DataFrame, filtered: bool = False, errors: DataFrame | None = None, most: int = VALIDATED) -> DataFrame:
+    """One row a query: its number of results, the best of them, and where
+    there are none the cause: its error (query_id, error), else the likely one."""
+    best = rerank_by_title(queries, hits, most).groupBy("query_id").agg(F.count(F.lit(1)).alias("results"), F.min_by("chunk_id", "rank").alias("best_chunk_id"), F.max("reranked_score").alias("best_score"))
+    q = queries.where(F.trim("question") != "").select("query_id").join(best, "query_id", "left")
+    q = q.join(errors, "query_id", "left") if errors is not None else q.withColumn("error", F.lit(None).cast("string"))
+    cause = F.coalesce(F.concat(F.lit("the search failed: "), "error"), F.lit(likely_cause(report, filtered)))
+    return q.select("query_id", F.coalesce("results", F.lit(0)).alias("results"), "best_chunk_id", "best_score", F.when(F.col("results").isNull(), cause).alias("likely_cause"))
+
+
+def retrieval_audit(before: DataFrame, after: DataFrame, tokens_before: DataFrame, tokens_after: DataFrame) -> DataFrame:
+    """What the choice of context did to each query: measures of the results
+    before and after, the copies that went, mean similarity, and the tokens of
+    the prompt that were saved (query_id, estimated_tokens of both)."""
+    measures = lambda df, name: diversity_metrics(df).select("query_id", *[F.col(c).alias(f"{c}_{name}") for c in ("chunks", "documents", "books", "headings", "repeats", "diversity_score")])
+    mean = before.groupBy("query_id").agg(F.round(F.avg("similarity_score"), 6).alias("average_similarity"))
+    tokens = tokens_before.select("query_id", F.col("estimated_tokens").alias("b")).join(tokens_after.select("query_id", F.col("estimated_tokens").alias("a")), "query_id", "left")
+    saved = tokens.select("query_id", F.greatest(F.lit(0), F.col("b") - F.coalesce("a", F.lit(0))).alias("tokens_saved"))
+    j = measures(before, "before").join(measures(after, "after"), "query_id", "left").join(mean, "query_id").join(saved, "query_id", "left")
+    gone = F.col("repeats_before") - F.coalesce("repeats_after", F.lit(0))
+    return j.withColumn("duplicate_reduction", gone)

@@ -82,3 +82,9 @@ def document_totals(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     rows keeps its manifest's count."""
     t = chunks.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.sum("token_count").alias("t"), F.sum("word_count").alias("w"))
     return documents.join(t, "source_file", "left").select("document_id", "source_file", "url", "content_hash", F.coalesce("n", "total_chunks").alias("chunks"), F.coalesce("t", F.lit(0)).alias("token_count"), F.coalesce("w", F.lit(0)).alias("word_count"))
+
+
+def in_order(documents: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both manifests as they are listed: by file, and by document, chunk index
+    and chunk id. A range sort of compact rows, for exports; nothing else needs it."""
+    return documents.orderBy("source_file"), entries.orderBy("document_id", "chunk_index", "chunk_id")

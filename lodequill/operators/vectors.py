@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import vector_id
+from ..sources.sinks import materialize
+from .manifest import one_row
 
 Embedder = Callable[[Sequence[str]], np.ndarray]
 
@@ -48,6 +50,44 @@ def embed_texts(rows: DataFrame, key: str, text: str, embed: Embedder, batch: in
     return rows.select(key, F.col(text).alias("input")).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, embedding array<float>")
 
 
+def try_embed(rows: DataFrame, key: str, text: str, embed: Embedder, batch: int = 64) -> DataFrame:
+    """(key, embedding, error): a batch that fails leaves its error in its rows
+    and the other batches alone."""
+
+    def run(frames):
+        for f in frames:
+            vectors, errors = [], []
+            for i in range(0, len(f), batch):
+                part = f["input"].iloc[i : i + batch].tolist()
+                try:
+                    got = embed(part)
+                    if len(got) != len(part):
+                        raise ValueError(f"{len(part)} texts gave {len(got)} vectors")
+                    vectors += [list(map(float, v)) for v in got]
+                    errors += [None] * len(part)
+                except Exception as e:  # noqa: BLE001  a failed batch is its rows' error
+                    vectors += [None] * len(part)
+                    errors += [str(e) or type(e).__name__] * len(part)
+            yield pd.DataFrame({key: f[key], "embedding": vectors, "error": errors})
+
+    return rows.select(key, F.col(text).alias("input")).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, embedding array<float>, error string")
+
+
+def embed_queries(queries: DataFrame, embed: Embedder, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """queries (query_id, question) with their vectors, and the cache (query,
+    embedding) after them. Questions of one normalised form are embedded once,
+    and those the cache has not at all."""
+    from ..functions.unicode import normalized_query
+
+    asked = queries.select("query_id", normalized_query(F.col("question")).alias("query"))
+    new = asked.select("query").distinct()
+    if cache is not None:
+        new = new.join(cache.select("query"), "query", "left_anti")
+    made = materialize(embed_texts(new, "query", "query", embed))
+    held = made if cache is None else cache.select("query", "embedding").unionByName(made)
+    return asked.join(held, "query"), held
+
+
 def retrying(call, retries: int = 3, wait=None, base_s: float = 0.5, most_s: float = 30.0):
     """call(...) again after 408, 409, 429, 5xx or an unknown error, waiting
     what the error asks for or a doubling time."""
@@ -90,6 +130,26 @@ def embed_pending(manifest: DataFrame, chunks: DataFrame, vectors: DataFrame, mo
     return made, after
 
 
+def newly_embedded(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Chunks that were pending before and are embedded after."""
+    was = before.where("embedding_status = 'pending'").select("chunk_id")
+    return after.where("embedding_status = 'embedded'").join(was, "chunk_id", "left_semi").select("chunk_id")
+
+
+def retry_pending(manifest: DataFrame, chunks: DataFrame, embed: Embedder, now: str, batch: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Another attempt on all pending chunks: new vectors (chunk_id,
+    content_hash, embedding), the manifest after them, and what failed
+    (chunk_id, error). What fails stays pending. `sync_candidates` with
+    `newly_embedded(manifest, after)` uploads the new ones alone."""
+    texts = pending(manifest, chunks).select("chunk_id", "content_hash", embedding_input(F.col("markdown"), F.col("plain_text")).alias("input"))
+    tried = materialize(try_embed(texts, "chunk_id", "input", embed, batch).join(texts.select("chunk_id", "content_hash"), "chunk_id"))  # the model is asked once
+    made = tried.where("error IS NULL").select("chunk_id", "content_hash", "embedding")
+    m = manifest.join(made.select("chunk_id", F.lit(True).alias("made")), "chunk_id", "left")
+    new = {"embedding_status": F.lit("embedded"), "embedded_at": F.lit(now), "vector_id": F.lit(None).cast("string")}
+    after = m.select(*[F.when(F.col("made"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in manifest.columns])
+    return made, after, tried.where("error IS NOT NULL").select("chunk_id", "error")
+
+
 # ---- search
 
 
@@ -236,3 +296,33 @@ def sync_status(manifest: DataFrame) -> DataFrame:
         F.count_if((s != "deleted") & ((s == "pending") | v.isNull())).alias("pending_uploads"),
         F.count_if((s == "deleted") & v.isNotNull()).alias("deleted_vectors"),
     )
+
+
+def collection_scan(points: DataFrame) -> DataFrame:
+    """points (id, chunk_id, content, source) -> id, chunk_id, has_content: no
+    vectors are read."""
+    there = lambda c: F.length(F.coalesce(c, F.lit(""))) > 0
+    return points.select("id", "chunk_id", (there("content") & there("source")).alias("has_content"))
+
+
+def collection_status(documents: DataFrame, manifest: DataFrame, remote: DataFrame) -> DataFrame:
+    """One row: vectors, pending_uploads (with those whose point lacks its
+    content), deleted_vectors."""
+    full = remote.where("chunk_id IS NOT NULL AND has_content").select("chunk_id", F.lit(True).alias("full")).distinct()
+    live = manifest.where("embedding_status <> 'deleted'").join(full, "chunk_id", "left")
+    todo = (F.col("embedding_status") == "pending") | F.col("vector_id").isNull() | F.col("full").isNull()
+    return one_row(remote.agg(F.count(F.lit(1)).alias("vectors")), live.agg(F.count_if(todo).alias("pending_uploads")), deleted_vectors(documents, manifest).agg(F.count(F.lit(1)).alias("deleted_vectors")))
+
+
+def sync_summary(documents: DataFrame, manifest: DataFrame, points: DataFrame, vectors: DataFrame, chunks: DataFrame) -> DataFrame:
+    """What one synchronisation does and leaves: vectors, pending_uploads,
+    uploaded_vectors, deleted_vectors."""
+    after, entries = sync(documents, manifest, points, vectors, chunks)
+    up = sync_candidates(manifest, points, vectors, chunks)
+    s, v = F.col("embedding_status"), F.col("vector_id")
+    return one_row(
+        after.agg(F.count(F.lit(1)).alias("vectors")),
+        entries.agg(F.count_if((s != "deleted") & ((s == "pending") | v.isNull())).alias("pending_uploads")),
+        up.agg(F.count(F.lit(1)).alias("uploaded_vectors")),
+        deleted_vectors(documents, manifest).agg(F.count(F.lit(1)).alias("deleted_vectors")),
+    )

@@ -652,10 +652,10 @@ def evaluation_summary(spark, sf):
     return E.evaluation_summary(r)
 
 
-@query("SELECT event_id AS at, user_id AS items, value AS seconds, CASE WHEN value > 0 THEN round(user_id / value, 6) ELSE user_id END::DOUBLE AS per_second FROM events ORDER BY event_id DESC LIMIT 50")
+@query("SELECT event_id, ts AS at, user_id AS items, value AS seconds, CASE WHEN value > 0 THEN round(user_id / value, 6) ELSE user_id END::DOUBLE AS per_second FROM events ORDER BY event_id DESC LIMIT 50")
 def throughput(spark, sf):
-    m = t(spark, sf, "events").select(F.col("event_id").alias("at"), F.col("user_id").alias("items"), F.col("value").alias("seconds"))
-    return E.throughput(m).withColumn("per_second", F.round("per_second", 6))
+    m = t(spark, sf, "events").select("event_id", F.col("ts").alias("at"), F.col("user_id").alias("items"), F.col("value").alias("seconds"))
+    return E.throughput(m, appended="event_id").withColumn("per_second", F.round("per_second", 6))
 
 
 # ---- incremental and service
@@ -703,3 +703,174 @@ def svc_search(spark, sf):
 @query()
 def svc_answer(spark, sf):
     return _service(spark, sf).answer(_request(spark, sf))
+
+
+@query()
+def svc_prompt(spark, sf):
+    return _service(spark, sf).prompt(_request(spark, sf))
+
+
+@query()
+def svc_sources(spark, sf):
+    return _service(spark, sf).sources(_request(spark, sf))
+
+
+@query()
+def svc_diagnostics(spark, sf):
+    return _service(spark, sf).diagnostics()
+
+
+_FILE = "source || '/doc-' || doc_id || '.md'"
+
+
+@query(f"SELECT substr(sha256({_FILE}), 1, 16) AS document_id, {_FILE} AS source_file, lang AS language, 'new' AS status, 1 AS version FROM documents WHERE doc_id = 1")
+def svc_document(spark, sf):
+    """A lookup by id."""
+    file = docs(spark, sf).where("doc_id = 1").select(F.concat("source", F.lit("/doc-1.md"))).first()[0]
+    own = docs(spark, sf).where("doc_id = 1").select(T.short_hash(F.lit(file))).first()[0]
+    return _service(spark, sf).document(own).select("document_id", "source_file", "language", "status", "version")
+
+
+@query(f"SELECT '{service.VERSION}' AS engine_version, {list(service.FEATURES)} AS features")
+def svc_version(spark, sf):
+    return spark.createDataFrame([(service.VERSION, list(service.FEATURES))], "engine_version string, features array<string>")
+
+
+# ---- crawls, synchronisation and audits
+
+
+@query("SELECT doc_id, coalesce(s BETWEEN 200 AND 299 AND contains(lower(c), 'text/html'), false) AS stored FROM (SELECT doc_id, [200, 204, 301, 404, NULL][doc_id % 5 + 1] AS s, ['text/html', 'Text/HTML; charset=utf-8', 'application/pdf', NULL][doc_id % 4 + 1] AS c FROM documents)")
+def page_admission(spark, sf):
+    status = F.element_at(F.array(F.lit(200), F.lit(204), F.lit(301), F.lit(404), F.lit(None).cast("int")), (F.col("doc_id") % 5 + 1).cast("int"))
+    kind = F.element_at(F.array(F.lit("text/html"), F.lit("Text/HTML; charset=utf-8"), F.lit("application/pdf"), F.lit(None).cast("string")), (F.col("doc_id") % 4 + 1).cast("int"))
+    return docs(spark, sf).select("doc_id", incremental.is_page(status, kind).alias("stored"))
+
+
+@query(
+    r"""SELECT page_id, CASE WHEN q = '' THEN own ELSE regexp_extract(own, '^([^?#]*)', 1) || '?' || array_to_string(list_transform(list_filter(string_split(q, '&'), lambda p: p <> ''), lambda p: string_split(p, '=')[1] || '=%5Bredacted%5D'), '&') || CASE WHEN own LIKE '%#%' THEN '#' || split_part(own, '#', 2) ELSE '' END END AS shown
+  FROM (SELECT *, regexp_extract(own, '^[^?#]*\?([^#]*)', 1) AS q FROM (SELECT page_id, regexp_replace(url, '^(https?)://', CASE WHEN page_id % 2 = 0 THEN '\1://%5Bredacted%5D:%5Bredacted%5D@' ELSE '\1://' END) || CASE WHEN url NOT LIKE '%?%' AND url NOT LIKE '%#%' THEN '?key=secret&n=' || page_id ELSE '' END AS own FROM pages))"""
+)
+def redacted_urls(spark, sf):
+    given = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("url", "^(https?)://", "$1://user:word@")).otherwise(F.col("url"))
+    more = F.when(~F.col("url").contains("?") & ~F.col("url").contains("#"), F.concat(F.lit("?key=secret&n="), F.col("page_id").cast("string"))).otherwise("")
+    return t(spark, sf, "pages").select("page_id", T.redact_url(F.concat(given, more)).alias("shown"))
+
+
+@query("SELECT 'http://n' || n_nationkey AS origin, greatest(1000, n_nationkey * 100) AS delay_ms FROM nation")
+def crawl_delays(spark, sf):
+    k = F.col("n_nationkey")
+    text = F.concat(F.lit("User-agent: *\nDisallow: /x\nCrawl-delay: "), (k / 10).cast("string"))
+    rules = readers.robots_rules(t(spark, sf, "nation").select(F.concat(F.lit("http://n"), k.cast("string")).alias("origin"), text.alias("text")), "quill/1.0")
+    return incremental.fetch_delays(rules, 1000)
+
+
+@query(
+    """SELECT b AS book_id, p AS page_no, (b + p) % 10 <> 0 AS ok, CASE WHEN (b + p) % 10 = 0 THEN 'no answer' END AS error, CASE WHEN (b + p) % 10 = 0 THEN 2 ELSE 1 END AS attempts
+  FROM (SELECT n_nationkey::INT AS b, unnest(range(1, n_nationkey % 4 + 2))::INT AS p FROM nation)"""
+)
+def book_crawl(spark, sf):
+    """Two runs: the first stops after 30 pages and finds every fifth page out
+    of order, the second takes up failures and the rest."""
+    root = f"{sinks.shared_dir(spark)}/books-{uuid.uuid4().hex}"
+    targets = readers.page_targets(t(spark, sf, "nation").select(F.col("n_nationkey").cast("int").alias("book_id"), F.col("n_name").alias("name"), (F.col("n_nationkey") % 4 + 1).cast("int").alias("page_count")), "http://b")
+    broken = lambda k: F.when((F.col("book_id") + F.col("page_no")) % k == 0, "no answer")
+    for k, most in ((5, 30), (10, 0)):
+        incremental.crawl_books(targets, lambda x, k=k: x.select("book_id", "page_no", F.when(broken(k).isNull(), "<html></html>").alias("html"), broken(k).alias("error")), root, most, 1)
+    return incremental.book_pages(spark, root).select("book_id", "page_no", "ok", "error", "attempts")
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    return incremental.windowed_counts(t(spark, sf, "events")).withColumn("total", F.round("total", 2))
+
+
+@query("SELECT count(*) AS succeeded, 0::BIGINT AS failed FROM pages")
+def stage_outcomes(spark, sf):
+    return etl.outcome(P.extract_pages(sites(spark, sf)))
+
+
+@query("SELECT 'v' || vec_id AS id, CASE WHEN vec_id % 17 > 0 THEN vec_id::VARCHAR END AS chunk_id, vec_id % 3 > 0 AND vec_id % 5 > 1 AS has_content FROM embeddings")
+def collection_scan(spark, sf):
+    i = F.col("vec_id")
+    content, source = F.when(i % 3 > 0, "text").otherwise(""), F.when(i % 5 == 0, F.lit(None).cast("string")).when(i % 5 == 1, "").otherwise("books")
+    return V.collection_scan(_vectors(spark, sf).select(F.concat(F.lit("v"), i.cast("string")).alias("id"), F.when(i % 17 > 0, i.cast("string")).alias("chunk_id"), content.alias("content"), source.alias("source")))
+
+
+@query(
+    f"""{_COLL} SELECT (SELECT count(*) FROM rem) AS vectors, (SELECT count(*) FROM del) AS deleted_vectors,
+  (SELECT count(*) FROM man WHERE embedding_status <> 'deleted' AND (embedding_status = 'pending' OR vector_id IS NULL OR chunk_id NOT IN (SELECT chunk_id FROM rem WHERE chunk_id IS NOT NULL AND has_content))) AS pending_uploads"""
+)
+def collection_status(spark, sf):
+    m, r, _, _, d = _collection(spark, sf)
+    return V.collection_status(d, m, r)
+
+
+@query(
+    f"""{_COLL} SELECT chunk_id, i % 10 <> 3 AS embedded, CASE WHEN i % 10 = 3 THEN 'no answer' END AS error FROM man WHERE embedding_status = 'pending'"""
+)
+def embedding_retry(spark, sf):
+    """Pending chunks once more: what is embedded now, and what fails again."""
+    m, *_ = _collection(spark, sf)
+    m = m.withColumn("embedded_at", F.lit(None).cast("string"))
+
+    def embed(texts):
+        if any(x.endswith("3") for x in texts):
+            raise ValueError("no answer")
+        return [[1.0]] * len(texts)
+
+    _, after, failed = V.retry_pending(m, m.select("chunk_id", F.concat(F.lit("chunk "), "chunk_id").alias("markdown"), F.col("chunk_id").alias("plain_text")), embed, NOW, 1)
+    done = V.newly_embedded(m, after).select("chunk_id", F.lit(True).alias("embedded"), F.lit(None).cast("string").alias("error"))
+    return done.unionByName(failed.select("chunk_id", F.lit(False).alias("embedded"), "error"))
+
+
+@query(r"SELECT item_id AS query_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS query, 64 AS dimensions FROM benchmark")
+def query_embeddings(spark, sf):
+    q = t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    embed = V.hash_embedder()
+    _, cache = V.embed_queries(q.where("query_id % 2 = 0"), embed)
+    return V.embed_queries(q, embed, cache)[0].select("query_id", "query", F.size("embedding").alias("dimensions"))
+
+
+@query(f"{_RES} SELECT query_id, collection, chunk_id, row_number() OVER (PARTITION BY query_id, collection ORDER BY score DESC, chunk_id) AS rank FROM res")
+def collection_results(spark, sf):
+    return R.by_collection(R.best_per_chunk(_hits(spark, sf), 0.0)[0]).select("query_id", "collection", "chunk_id", "rank")
+
+
+def _named(spark, sf):
+    return _asked(spark, sf).select("query_id", F.concat(F.lit("BOOK  "), (F.col("query_id") % 7).cast("string")).alias("question"))
+
+
+_BONUS = f"""{_RES}, b AS (SELECT *, CASE WHEN vec_id % 7 = query_id % 7 THEN 0.25 ELSE 0.0 END::DOUBLE AS title_match_bonus FROM res),
+  v AS (SELECT *, round(score + title_match_bonus, 6) AS reranked_score, row_number() OVER (PARTITION BY query_id ORDER BY score + title_match_bonus DESC, document_id, chunk_index, chunk_id) AS rank FROM b)"""
+
+
+@query(f"{_BONUS} SELECT query_id, rank, chunk_id, title_match_bonus, reranked_score FROM v WHERE rank <= 20")
+def validated_hits(spark, sf):
+    return E.rerank_by_title(_named(spark, sf), _results(spark, sf)).select("query_id", "rank", "chunk_id", "title_match_bonus", F.round("reranked_score", 6).alias("reranked_score"))
+
+
+@query(
+    f"""{_BONUS.replace("score >= 0.0", "score >= 0.3")} SELECT q.query_id, count(v.query_id) AS results, arg_min(v.chunk_id, v.rank) AS best_chunk_id, max(reranked_score) AS best_score,
+  CASE WHEN count(v.query_id) = 0 THEN 'some chunks were not embedded or uploaded yet' END AS likely_cause FROM (SELECT vec_id AS query_id FROM embeddings WHERE vec_id % 20 = 0) q LEFT JOIN (SELECT * FROM v WHERE rank <= 20) v USING (query_id) GROUP BY 1"""
+)
+def search_validation(spark, sf):
+    """Some queries have no hits above 0.3; their cause is named."""
+    m, r, _, _, d = _collection(spark, sf)
+    out = E.validate_search(_named(spark, sf), _results(spark, sf).where("score >= 0.3"), E.diagnostics(d, m, r))
+    return out.withColumn("best_score", F.round("best_score", 6))
+
+
+def _measured(name: str, of: str) -> str:
+    n, d, b, h = "count(*)", "count(DISTINCT collection || ':' || document_id)", "count(DISTINCT vec_id % 7)", "count(DISTINCT (vec_id % 7) || '>' || (vec_id % 3))"
+    return f"SELECT query_id, {n} AS chunks_{name}, {d} AS documents_{name}, {b} AS books_{name}, {h} AS headings_{name}, {n} - {d} AS repeats_{name}, floor(({d} + {b} + {h}) * 100 / ({n} * 3) * 100 + 0.5) / 100 AS diversity_score_{name}, sum(vec_id % 400 + 100) AS t_{name}, round(avg(score), 6) AS s_{name} FROM {of} GROUP BY query_id"
+
+
+@query(
+    f"""{_RES}, capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, collection, document_id ORDER BY score DESC, chunk_index, chunk_id) AS n FROM res) WHERE n <= 2),
+  b AS ({_measured('before', 'res')}), a AS ({_measured('after', 'capped')}) SELECT * EXCLUDE (t_before, t_after, s_before, s_after), s_before AS average_similarity, greatest(0, t_before - t_after)::BIGINT AS tokens_saved, repeats_before - repeats_after AS duplicate_reduction FROM b JOIN a USING (query_id)"""
+)
+def retrieval_audit(spark, sf):
+    before = _results(spark, sf).withColumn("similarity_score", F.col("score"))
+    after = C.cap_per_document(before)
+    tokens = lambda df: df.groupBy("query_id").agg(F.sum("token_count").alias("estimated_tokens"))
+    return E.retrieval_audit(before, after, tokens(before), tokens(after))

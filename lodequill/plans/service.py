@@ -13,6 +13,7 @@ from ..operators import answer, context, evaluate, retrieval, vectors
 
 VERSION = "0.1.0"
 FEATURES = ("search", "prompt", "answer", "sources", "document", "chunk", "stats", "diagnostics")
+FILTERS = ("language", "document_id", "title", "url", "source_file")
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,13 @@ class Request:
             raise ValueError("top_k must be from 1 to 50")
         if not 0 <= self.threshold <= 1:
             raise ValueError("threshold must be from 0 to 1")
+        if isinstance(self.top_k, bool) or not isinstance(self.top_k, int):
+            raise ValueError("top_k must be a whole number")
+        unknown = set(self.filters) - set(FILTERS)
+        if unknown:
+            raise ValueError(f"unknown filters: {', '.join(sorted(unknown))}")
+        if any(not isinstance(v, str) or not v.strip() for v in self.filters.values()):
+            raise ValueError("filters must be texts that aren't blank")
 
 
 @dataclass
@@ -47,8 +55,11 @@ class KnowledgeService:
     config: Retrieval = Retrieval()
     model: answer.ChatModel = answer.extractive_model
     budget: int = 6000
+    known_sources: tuple = ()  # where it isn't empty, requests may name these alone
 
     def _hits(self, r: Request) -> tuple[DataFrame, DataFrame]:
+        if self.known_sources and not set(r.sources) <= set(self.known_sources):
+            raise ValueError(f"sources must be among {', '.join(self.known_sources)}")
         plans = retrieval.plan_queries(r.questions, self.config)
         asked = retrieval.variants(plans)
         embedded = vectors.embed_texts(asked.select("variant").distinct(), "variant", "variant", self.embed)
@@ -81,7 +92,7 @@ class KnowledgeService:
         return answers.drop("answer").join(answer.citations(answers, used), "query_id")
 
     def sources(self, r: Request) -> DataFrame:
-        return self.answer(r).select("query_id", F.explode("citations").alias("c")).select("query_id", "c.*")
+        return self.answer(r).select("query_id", F.explode("citations").alias("c")).select("query_id", "c.*").select("query_id", "id", "source", "title", F.coalesce(F.try_element_at("heading_path", F.lit(-1)), "title").alias("heading"), "excerpt", "url", "score", "chunk_index", "total_chunks")
 
     def document(self, document_id: str) -> DataFrame:
         return self.documents.where(F.col("document_id") == document_id)

@@ -101,8 +101,40 @@ def reset(spark: SparkSession, root: str) -> None:
     fs.mkdirs(path)
 
 
-def markdown_table(df: DataFrame, most: int = 1000) -> str:
-    """A small report DataFrame as a Markdown table."""
-    rows = df.limit(most).collect()
-    line = lambda xs: "| " + " | ".join("" if x is None else str(x).replace("|", r"\|") for x in xs) + " |"
-    return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)])
+def markdown_table(df: DataFrame) -> str:
+    """A report DataFrame as a Markdown table. Reports are summaries, whose size
+    doesn't follow the data's; rows come one partition at a time."""
+    line = lambda xs: "| " + " | ".join("" if x is None else str(x).replace("|", r"\|").replace("\n", " ") for x in xs) + " |"
+    return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, df.toLocalIterator())])
+
+
+def html_table(df: DataFrame) -> str:
+    """The same as an HTML table with everything escaped."""
+    from html import escape
+
+    cells = lambda xs, tag: "<tr>" + "".join(f"<{tag}>{'' if x is None else escape(str(x))}</{tag}>" for x in xs) + "</tr>"
+    return "<table>" + cells(df.columns, "th") + "".join(cells(r, "td") for r in df.toLocalIterator()) + "</table>"
+
+
+def write_reports(parts: dict[str, DataFrame], root: str, title: str) -> None:
+    """Each part as JSON lines, and all in report.md and report.html."""
+    from html import escape
+
+    spark = next(iter(parts.values())).sparkSession
+    for name, df in parts.items():
+        write_report(df, f"{root}/{name}")
+    md = "\n\n".join([f"# {title}", *[f"## {n}\n\n{markdown_table(df)}" for n, df in parts.items()]]) + "\n"
+    page = f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><h1>{escape(title)}</h1>" + "".join(f"<h2>{escape(n)}</h2>{html_table(df)}" for n, df in parts.items())
+    for name, text in (("report.md", md), ("report.html", page)):
+        fs, path = _fs(spark, f"{root}/{name}")
+        out = fs.create(path, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+
+def write_answers(rows: DataFrame, root: str, text: str, key: str = "query_id") -> None:
+    """Prompts or answers: JSON lines with all columns in {root}/json, and the
+    text of each in {root}/text/{key}=.., written by the tasks. A rerun replaces
+    both."""
+    rows.write.mode("overwrite").json(f"{root}/json")
+    rows.select(key, F.col(text).cast("string").alias("value")).repartition(key).write.mode("overwrite").partitionBy(key).text(f"{root}/text")

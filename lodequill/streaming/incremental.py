@@ -97,3 +97,64 @@ def crawl_failures(spark: SparkSession, root: str) -> DataFrame:
 def remaining(targets: DataFrame, completed: DataFrame, key) -> DataFrame:
     """Targets that weren't completed yet."""
     return targets.join(completed.select(*key), list(key), "left_anti")
+
+
+def fetch_delays(rules: DataFrame, least_ms: int) -> DataFrame:
+    """(origin, delay_ms): the own delay or the one that robots rules ask for,
+    whichever is longer."""
+    asked = F.max(F.when(F.col("kind") == "delay", F.col("rule").cast("long")))
+    return rules.groupBy("origin").agg(F.greatest(F.lit(least_ms), F.coalesce(asked, F.lit(0))).alias("delay_ms"))
+
+
+def paced(call, delay_s: float, wait=None, now=None):
+    """call(...) no sooner than `delay_s` after it was called before."""
+    import time
+
+    clock, pause, last = now or time.monotonic, wait or time.sleep, [None]
+
+    def run(*args):
+        if last[0] is not None and (left := last[0] + delay_s - clock()) > 0:
+            pause(left)
+        last[0] = clock()
+        return call(*args)
+
+    return run
+
+
+PAGE_KEY = ("book_id", "page_no")
+BOOK_STATE = "book_id int, page_no int, url string, ok boolean, error string, attempts int, html string"
+
+
+def crawl_books(targets: DataFrame, fetch: Callable[[DataFrame], DataFrame], root: str, max_pages: int = 0, retries: int = 3) -> DataFrame:
+    """Pages of books (book_id, page_no, url) that `root` lacks are fetched;
+    fetch(targets) -> (book_id, page_no, html, error). A page that fails is
+    tried `retries` times more; its failure replaces an older one and is taken
+    up by the next run. Pages and failures are one snapshot, written once a run.
+    `max_pages` limits the pages of a run (0: all). Returns one row of counts."""
+    spark = targets.sparkSession
+    key = list(PAGE_KEY)
+    state = sinks.read_snapshot(spark, f"{root}/state", BOOK_STATE)
+    todo = remaining(targets, state.where("ok"), key).select(*key, "url")
+    if max_pages:
+        todo = todo.orderBy(*key).limit(max_pages)
+    todo = sinks.materialize(todo)
+    got, left = None, todo
+    for attempt in range(1, retries + 2):
+        tried = fetch(left).join(left, key).select(*key, "url", F.col("error").isNull().alias("ok"), "error", F.lit(attempt).alias("attempts"), "html")
+        tried = sinks.materialize(tried)
+        got = tried if got is None else got.where("ok").unionByName(tried)
+        left = tried.where("NOT ok").select(*key, "url")
+        if left.isEmpty():
+            break
+    sinks.write_snapshot(remaining(state, got, key).unionByName(got), f"{root}/state")
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    after = sinks.read_snapshot(spark, f"{root}/state", BOOK_STATE)
+    return manifest.one_row(
+        targets.agg(F.count_distinct("book_id").alias("books")), n(targets, "pages"), n(after.where("ok"), "pages_downloaded"),
+        n(got.where("ok"), "downloaded_this_run"), n(remaining(targets, todo, key), "skipped_pages"), n(after.where("NOT ok"), "failed_pages"),
+    )
+
+
+def book_pages(spark: SparkSession, root: str) -> DataFrame:
+    """What `crawl_books` has: pages and failures."""
+    return sinks.read_snapshot(spark, f"{root}/state", BOOK_STATE)

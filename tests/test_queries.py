@@ -15,7 +15,7 @@ from lodequill.plans.queries import ORACLE, QUERIES
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "benchmark"):
+    for name in ("documents", "embeddings", "benchmark", "pages", "nation", "events"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
     yield con
     con.close()
@@ -23,7 +23,8 @@ def db():
 
 def same(spark, sf_dir, db, name):
     got = QUERIES[name](spark, sf_dir)
-    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE[name]})").fetchall()
+    columns = ", ".join(f'"{c}"' for c in got.columns)
+    want = db.execute(f"SELECT {columns} FROM ({ORACLE[name]})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want)
     return want
 
@@ -57,6 +58,20 @@ def test_manifests_still_see_deleted_rows(spark, sf_dir, db, name):
     same(spark, sf_dir, db, name)
 
 
+CRAWLS = ["page_admission", "redacted_urls", "crawl_delays", "book_crawl", "event_windows", "stage_outcomes", "collection_scan", "collection_status", "embedding_retry", "query_embeddings", "collection_results", "validated_hits", "retrieval_audit", "throughput", "svc_version", "svc_document"]
+
+
+@pytest.mark.parametrize("name", CRAWLS)
+def test_crawls_audits_and_lookups_agree_with_sql(spark, sf_dir, db, name):
+    same(spark, sf_dir, db, name)
+
+
+def test_validation_names_a_cause_only_without_results(spark, sf_dir, db):
+    want = same(spark, sf_dir, db, "search_validation")
+    got = {(r.results == 0, r.likely_cause is not None) for r in QUERIES["search_validation"](spark, sf_dir).collect()}
+    assert len(want) == 25 and got <= {(True, True), (False, False)}
+
+
 def test_texts_are_escaped_whole(spark, sf_dir, db):
     same(spark, sf_dir, db, "scalar_functions")
 
