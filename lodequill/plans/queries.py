@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import unicode as U
 from ..operators import answer as A
+from ..operators import chunking
 from ..operators import context as C
 from ..operators import evaluate as E
 from ..operators import manifest as M
@@ -91,7 +92,14 @@ def plain_text(spark, sf):
     return texts(spark, sf).select("doc_id", F.sha2(p.cast("binary"), 256).alias("plain_hash"), F.length(p).alias("plain_chars"))
 
 
-@query()
+_FIRST = f"""list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '\\n\\s*\\n'),
+  lambda b: trim(regexp_replace({nested("array_to_string(list_filter(string_split(b, chr(10)), lambda x: NOT regexp_matches(x, '^\\s{0,3}#{1,6}(?:\\s+|$)')), ' ')", T.UNMARK_STEPS)}, '\\s+', ' ', 'g'))), lambda p: length(p) > 0)"""
+
+
+@query(
+    f"""SELECT doc_id, CASE WHEN length(f) <= 350 THEN f WHEN s <> '' THEN s || '...' WHEN w <> '' THEN rtrim(w) || '...' ELSE rtrim(h) || '...' END AS snippet
+  FROM (SELECT doc_id, f, h, regexp_extract(h, '(?s)^(.*[.!?])(?:\\s|$)', 1) AS s, regexp_extract(h, '(?s)^(.+) ', 1) AS w FROM (SELECT doc_id, f, substr(f, 1, 347) AS h FROM (SELECT doc_id, coalesce({_FIRST}[1], '') AS f FROM documents)))"""
+)
 def snippets(spark, sf):
     return texts(spark, sf).select("doc_id", T.snippet(F.col("text")).alias("snippet"))
 
@@ -874,3 +882,112 @@ def retrieval_audit(spark, sf):
     after = C.cap_per_document(before)
     tokens = lambda df: df.groupBy("query_id").agg(F.sum("token_count").alias("estimated_tokens"))
     return E.retrieval_audit(before, after, tokens(before), tokens(after))
+
+
+# ---- files that the engine reads
+
+
+def _folder(spark, name):
+    return f"{sinks.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    """SELECT 'p/' || page_id || '.html' AS relative_path, 'id-' || page_id AS id, coalesce(CASE WHEN page_id % 3 = 0 THEN url || '#c' END, CASE WHEN page_id % 2 = 0 THEN url || '#f' END, url) AS url, CASE WHEN page_id % 7 > 0 THEN '2024-01-02' END AS crawl_date FROM pages"""
+)
+def raw_index(spark, sf):
+    """An index of JSON lines, some of them later ones of a path and some
+    without id, joined to the files."""
+    root, i = _folder(spark, "raw"), F.col("page_id")
+    of = lambda k, mark: F.when(i % k == 0, F.concat("url", F.lit(mark)))
+    path = F.concat(F.lit("p/"), i.cast("string"), F.lit(".html"))
+    p = t(spark, sf, "pages").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    line = F.to_json(F.struct(F.when(F.col("n") != 1, F.concat(F.lit("id-"), i.cast("string"))).alias("id"), path.alias("rawPath"), F.when(F.col("n") == 3, F.col("url")).otherwise("http://old").alias("url"), of(2, "#f").alias("finalUrl"), of(3, "#c").alias("canonicalUrl"), F.when(i % 7 > 0, "2024-01-02").alias("fetchedAt")))
+    p.select(line.alias("value"), "n", "page_id").repartitionByRange(4, "page_id").sortWithinPartitions("page_id", "n").select("value").write.text(root)
+    files = t(spark, sf, "pages").select(path.alias("relative_path"))
+    return readers.raw_documents(files, readers.read_raw_index(spark, root)).select("relative_path", "id", "url", "crawl_date")
+
+
+def _arrays(df: DataFrame, key: str, root: str) -> None:
+    """Files of JSON arrays, 64 rows each."""
+    block = F.floor(F.col(key) / 64)
+    df.select(block.alias("b"), F.to_json(F.struct(*[c for c in df.columns if c != key])).alias("j")).groupBy("b").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value")).repartition("b").write.partitionBy("b").text(root)
+
+
+@query("SELECT 'c-' || vec_id AS chunk_id, sha256(vec_id::VARCHAR) AS content_hash, len(embedding)::INT AS dimensions, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings")
+def vector_files(spark, sf):
+    root, i = _folder(spark, "vectors"), F.col("vec_id").cast("string")
+    v = _vectors(spark, sf).select("vec_id", F.concat(F.lit("c-"), i).alias("chunkId"), F.sha2(i.cast("binary"), 256).alias("contentHash"), F.lit("m").alias("model"), F.size("embedding").alias("dimensions"), F.col("embedding").cast("array<double>").alias("embedding"), F.lit(NOW).alias("embeddedAt"))
+    _arrays(v, "vec_id", root)
+    return readers.read_vectors(spark, root).select("chunk_id", "content_hash", "dimensions", F.round(F.element_at("embedding", 1), 6).alias("first"))
+
+
+@query("SELECT 'c-' || doc_id AS chunk_id, 'f-' || (doc_id // 5) AS source_file, (doc_id % 5)::INT AS chunk_index, n_chars::INT AS token_count, sha256(text) AS content_hash, lang AS language, sha256(text) AS markdown_hash FROM documents")
+def chunk_files(spark, sf):
+    root, i = _folder(spark, "chunks"), F.col("doc_id")
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    meta = F.struct(F.concat(F.lit("c-"), i.cast("string")).alias("id"), F.concat(F.lit("f-"), F.floor(i / 5).cast("string")).alias("sourceFile"), F.col("lang").alias("language"), (i % 5).alias("chunkIndex"), F.col("n_chars").alias("tokenCount"), digest.alias("contentHash"))
+    _arrays(docs(spark, sf).select("doc_id", meta.alias("metadata"), F.col("text").alias("markdown"), F.col("text").alias("plainText")), "doc_id", root)
+    return readers.read_chunks(spark, root).select("chunk_id", "source_file", "chunk_index", "token_count", "content_hash", "language", F.sha2(F.col("markdown").cast("binary"), 256).alias("markdown_hash"))
+
+
+@query("SELECT item_id::VARCHAR AS id, 'general' AS category, text AS question FROM benchmark")
+def question_files(spark, sf):
+    root = _folder(spark, "questions")
+    _arrays(t(spark, sf, "benchmark").select("item_id", F.col("item_id").cast("string").alias("id"), F.lit("general").alias("category"), F.col("text").alias("question"), F.lit("easy").alias("difficulty")), "item_id", root)
+    return readers.read_questions(spark, root).select("id", "category", "question")
+
+
+@query("SELECT page_id AS id, CASE WHEN page_id % 3 = 0 THEN 'new' ELSE 'old' END AS state, sha256(html) AS html_hash FROM pages WHERE page_id % 10 <> 7")
+def page_store(spark, sf):
+    """Pages saved, some of them again, and some taken out."""
+    root = _folder(spark, "pages")
+    p = t(spark, sf, "pages").select(F.col("page_id").alias("id"), "html")
+    sinks.append_pages(p.withColumn("state", F.lit("old")), root)
+    sinks.append_pages(p.where("id % 3 = 0").withColumn("state", F.lit("new")), root)
+    held = sinks.without_pages(sinks.current_pages(spark, root), p.where("id % 10 = 7"))
+    return held.select("id", "state", F.sha2(F.col("html").cast("binary"), 256).alias("html_hash"))
+
+
+@query("SELECT DISTINCT url FROM pages")
+def sitemap_pages(spark, sf):
+    """An index of sitemaps, each with a part of the pages' addresses."""
+    held = t(spark, sf, "pages").select(F.concat(F.lit("http://s/"), F.floor(F.col("page_id") / 100).cast("string")).alias("map"), F.concat(F.lit("<url><loc> "), "url", F.lit(" </loc></url>")).alias("u"))
+    maps = held.groupBy("map").agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list("u"), ""), F.lit("</urlset>")).alias("text"))
+    top = maps.agg(F.concat(F.lit("<sitemapindex>"), F.array_join(F.collect_list(F.concat(F.lit("<sitemap><loc>"), "map", F.lit("</loc></sitemap>"))), ""), F.lit("</sitemapindex>")).alias("text")).select(F.lit("http://s/top").alias("map"), "text")
+    served = maps.unionByName(top).withColumnRenamed("map", "url")
+    return readers.sitemap_urls(lambda asked: asked.join(served, "url", "left"), spark.createDataFrame([("http://s/top",)], "url string"))
+
+
+@query("SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS chunk_index, count(*) OVER (PARTITION BY source) AS total_chunks FROM documents")
+def chunk_numbers(spark, sf):
+    return chunking.number_chunks(docs(spark, sf).select("source", "doc_id"), "source", "doc_id").select("source", "doc_id", "chunk_index", "total_chunks")
+
+
+@query("SELECT source AS source_file, count(*) AS chunks, sum(n_chars)::BIGINT AS tokens, sum(n_chars * 2)::BIGINT AS words FROM documents GROUP BY 1")
+def chunk_totals(spark, sf):
+    return chunking.chunk_stats(docs(spark, sf).select(F.col("source").alias("source_file"), F.col("n_chars").alias("token_count"), (F.col("n_chars") * 2).alias("word_count")))
+
+
+@query("SELECT item_id AS id, CASE WHEN item_id % 3 > 0 THEN 'about ' || text END AS answer, CASE WHEN item_id % 3 = 0 THEN 'no answer' END AS error FROM benchmark")
+def evaluation_run(spark, sf):
+    """Questions whose answers fail keep their errors."""
+    asked = t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    failed = F.col("query_id") % 3 == 0
+    answers = lambda q: q.select("query_id", F.when(~failed, F.concat(F.lit("about "), "question")).alias("answer"), F.when(failed, "no answer").alias("error"))
+    return E.run_evaluation(asked, answers)
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 5 > 0 THEN array_to_string(list_transform(string_split(lower(n_name), ' '), lambda p: (CASE WHEN p[1] = 'i' THEN 'İ' ELSE upper(p[1]) END) || p[2:]), ' ') END AS title FROM nation")
+def collection_titles(spark, sf):
+    slug = F.replace(F.lower("n_name"), F.lit(" "), F.lit("-"))
+    url = F.when(F.col("n_nationkey") % 5 > 0, F.concat(F.lit("http://h/tr/eserleri/"), slug, F.lit("/part-1?x=y"))).otherwise("http://h/tr/other")
+    return t(spark, sf, "nation").select("n_nationkey", T.collection_title(url).alias("title"))
+
+
+_MARKLESS = "trim(regexp_replace({0}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, sha256(trim(regexp_replace(lower(translate(text, 'Iİ', 'ıi')), '\\s+', ' ', 'g'))) AS normalized, sha256({_MARKLESS.format("strip_accents(replace(lower(translate(text, 'Iİ', 'ıi')), 'ı', 'i'))")}) AS titled FROM documents")
+def text_forms(spark, sf):
+    sha = lambda x: F.sha2(x.cast("binary"), 256)
+    return texts(spark, sf).select("doc_id", sha(U.normalized(F.col("text"))).alias("normalized"), sha(U.titled(F.col("text"))).alias("titled"))

@@ -179,8 +179,8 @@ def sitemap_urls(fetch: Callable[[DataFrame], DataFrame], start: DataFrame, dept
     found, level = None, start.select("url").distinct()
     for _ in range(depth + 1):
         got = fetch(level).where("text IS NOT NULL").select(
-            F.transform(F.regexp_extract_all("text", F.lit(r"(?s)<sitemap\b[^>]*>.*?<loc>\s*(.*?)\s*</loc>"), F.lit(1)), F.trim).alias("nested"),
-            F.transform(F.regexp_extract_all("text", F.lit(r"(?s)<url\b[^>]*>.*?<loc>\s*(.*?)\s*</loc>"), F.lit(1)), F.trim).alias("pages"),
+            F.transform(F.regexp_extract_all("text", F.lit(r"(?s)<sitemap\b[^>]*>.*?<loc>\s*(.*?)\s*</loc>"), F.lit(1)), lambda x: F.trim(x)).alias("nested"),
+            F.transform(F.regexp_extract_all("text", F.lit(r"(?s)<url\b[^>]*>.*?<loc>\s*(.*?)\s*</loc>"), F.lit(1)), lambda x: F.trim(x)).alias("pages"),
         )
         pages = got.where(F.size("nested") == 0).select(F.explode("pages").alias("url")).where("url <> ''")
         found = pages if found is None else found.union(pages)

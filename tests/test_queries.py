@@ -59,6 +59,12 @@ def test_manifests_still_see_deleted_rows(spark, sf_dir, db, name):
 
 
 CRAWLS = ["page_admission", "redacted_urls", "crawl_delays", "book_crawl", "event_windows", "stage_outcomes", "collection_scan", "collection_status", "embedding_retry", "query_embeddings", "collection_results", "validated_hits", "retrieval_audit", "throughput", "svc_version", "svc_document"]
+FILES = ["raw_index", "vector_files", "chunk_files", "question_files", "page_store", "sitemap_pages", "chunk_numbers", "chunk_totals", "evaluation_run", "collection_titles", "text_forms", "snippets"]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_files_and_forms_agree_with_sql(spark, sf_dir, db, name):
+    same(spark, sf_dir, db, name)
 
 
 @pytest.mark.parametrize("name", CRAWLS)
