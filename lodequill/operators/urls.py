@@ -95,10 +95,18 @@ def _any(values, test) -> Column:
     return out
 
 
-def is_admitted(url: Column, depth: Column, policy: SourcePolicy) -> Column:
+def host_of(url: Column) -> Column:
+    return _part(normalize_url(url), 2)
+
+
+def is_admitted(url: Column, depth: Column, policy: SourcePolicy, known_domain: Column | None = None) -> Column:
+    """Whether the policy lets a crawl fetch the address. `known_domain` stands
+    for the policy's list of domains where these are a table to join, by
+    `host_of`, and not a short list."""
     own = normalize_url(url)
     path, language = _part(own, 4), url_language(own)
-    ok = own.isNotNull() & (depth <= policy.max_depth) & _part(own, 2).isin(*[d.lower() for d in policy.allowed_domains]) & ~is_infrastructure(own)
+    domain = known_domain if known_domain is not None else _part(own, 2).isin(*[d.lower() for d in policy.allowed_domains])
+    ok = own.isNotNull() & (depth <= policy.max_depth) & domain & ~is_infrastructure(own)
     if policy.include_paths:
         ok = ok & _any(policy.include_paths, lambda p: F.startswith(path, F.lit(p)))
     ok = ok & ~_any(policy.exclude_paths, lambda p: F.startswith(path, F.lit(p)))

@@ -167,10 +167,12 @@ _INFRA = f"""(path IN {L.BLOCKED_PATHS} OR starts_with(path, '/component/') OR s
 )
 def url_admit(spark, sf):
     pages = t(spark, sf, "pages")
-    hosts = [r[0] for r in pages.select(F.lower(F.regexp_extract("url", "^https?://(www[.][^/?#:]+)", 1)).alias("h")).where("h <> ''").distinct().collect()]  # the policy's domains
-    policy = L.SourcePolicy(tuple(hosts), exclude_paths=("/de",), languages=("en", "fr", "es"), max_depth=3)
+    pages = pages.withColumn("host", L.host_of(F.col("url")))
+    domains = pages.where(F.col("host").startswith("www.")).select("host").distinct().withColumn("known", F.lit(True))  # the policy's domains, a table
+    policy = L.SourcePolicy(exclude_paths=("/de",), languages=("en", "fr", "es"), max_depth=3)
     own = L.normalize_url(F.col("url"))
-    return pages.select("page_id", L.is_infrastructure(own).alias("infrastructure"), L.is_admitted(F.col("url"), (F.col("page_id") % 5).cast("int"), policy).alias("admitted"))
+    known = F.coalesce("known", F.lit(False))
+    return pages.join(domains, "host", "left").select("page_id", L.is_infrastructure(own).alias("infrastructure"), L.is_admitted(F.col("url"), (F.col("page_id") % 5).cast("int"), policy, known).alias("admitted"))
 
 
 @query(
