@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from lodequill.functions import unicode
+from lodequill.operators import near_dup
 from lodequill.plans import queries
 from lodequill.plans.queries import ORACLE, QUERIES
 
@@ -122,3 +123,11 @@ def test_tokens_are_compatibility_composed(spark, tmp_path):
     near = [(i, j, d) for h, i in first.items() for g, j in first.items() if i < j and (d := (int(h, 16) ^ int(g, 16)).bit_count()) <= 3]
     assert got("near_dup_pairs") == sorted(near)
     assert [r[:2] for r in got("duplicate_tokens")] == [(i, len(x)) for i, x in tokens.items()]
+
+
+def test_near_pairs_are_not_broadcast(spark):
+    hashed = spark.range(2000).selectExpr("id AS doc_id", "id * 3 AS simhash")
+    pairs = near_dup.near_pairs(hashed, "doc_id")
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    want = sorted((a, b, (3 * a ^ 3 * b).bit_count()) for b in range(2000) for a in range(b) if (3 * a ^ 3 * b).bit_count() <= 3)
+    assert sorted(map(tuple, pairs.collect())) == want
