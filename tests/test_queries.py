@@ -125,6 +125,31 @@ def test_tokens_are_compatibility_composed(spark, tmp_path):
     assert [r[:2] for r in got("duplicate_tokens")] == [(i, len(x)) for i, x in tokens.items()]
 
 
+@pytest.fixture
+def made(spark, tmp_path):
+    """A folder of tables: made(name=rows of (columns, ..))."""
+
+    def make(**tables):
+        for name, (schema, rows) in tables.items():
+            spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        con = duckdb.connect()
+        for name in tables:
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        return str(tmp_path), con
+
+    return make
+
+
+def test_near_duplicates_are_of_whole_texts(spark, made):
+    start = " ".join(f"word{i % 50}" for i in range(8000))
+    tail = lambda w, n: " " + " ".join(f"{w}{i % 40}" for i in range(n))
+    rows = [(1, start), (2, start + tail("other", 9000)), (3, start + tail("other", 9000)), (4, start + tail("third", 9000)), (5, None)]
+    sf, con = made(documents=("doc_id long, text string", rows))
+    same(spark, sf, con, "near_dup_pairs")
+    classes = dict(same(spark, sf, con, "near_dup_classes"))
+    assert classes == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5}
+
+
 def test_near_pairs_are_not_broadcast(spark):
     hashed = spark.range(2000).selectExpr("id AS doc_id", "id * 3 AS simhash")
     pairs = near_dup.near_pairs(hashed, "doc_id")
