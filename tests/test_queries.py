@@ -156,3 +156,12 @@ def test_near_pairs_are_not_broadcast(spark):
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
     want = sorted((a, b, (3 * a ^ 3 * b).bit_count()) for b in range(2000) for a in range(b) if (3 * a ^ 3 * b).bit_count() <= 3)
     assert sorted(map(tuple, pairs.collect())) == want
+
+
+def test_titles_of_links_are_those_of_the_sql(spark, made):
+    heads = ["<title> a &amp; b </title>", "<title>say &quot;a&quot; &amp</title>", "<title></title>", "", "<title>a\nb</title>", "<title>&amp;lt;</title>"]
+    rows = [(i, f"<html><head>{h}</head><body><a href=\"/{i}\">x</a></body></html>") for i, h in enumerate(heads)] + [(9, None)]
+    sf, con = made(pages=("page_id long, html string", rows))
+    got = sorted(map(tuple, QUERIES["page_links"](spark, sf).collect()))
+    assert got == sorted(con.execute(ORACLE["page_links"]).fetchall())
+    assert got[1][1] == "say &quot;a&quot; &amp" and got[-1] == (9, None, None)
