@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import answer_payload, clamp, half_up
 from ..functions.unicode import excerpt
+from ..sources.readers import bounded
 
 UNSUPPORTED = "The retrieved context does not contain enough information to answer this question."
 ChatModel = Callable[[str], str]
@@ -40,7 +41,7 @@ def complete(prompts: DataFrame, model: ChatModel, has_context: Column) -> DataF
                     out.append((q, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["query_id", "reply", "error"])
 
-    return prompts.select("query_id", "prompt", has_context.alias("ok")).mapInPandas(run, f"query_id {kind}, reply string, error string")
+    return bounded(prompts).select("query_id", "prompt", has_context.alias("ok")).mapInPandas(run, f"query_id {kind}, reply string, error string")
 
 
 def agreement(used: DataFrame) -> DataFrame:
@@ -116,4 +117,4 @@ def citations(answers: DataFrame, chunks: DataFrame) -> DataFrame:
                 out.append((q, text, [{"id": c["id"], "chunk_id": c["chunk_id"], "source": c["source"], "title": c["title"], "url": c["url"], "heading_path": list(c["heading_path"]) if c["heading_path"] is not None else [], "score": c["similarity_score"], "source_file": c["source_file"], "chunk_index": c["chunk_index"], "total_chunks": c["total_chunks"], "excerpt": excerpt(c["markdown"])} for c in cs]))
             yield pd.DataFrame(out, columns=["query_id", "answer", "citations"])
 
-    return answers.join(own, "query_id", "left").select("query_id", "answer", "used").mapInPandas(run, f"query_id {kind}, answer string, citations array<{item}>")
+    return bounded(answers).join(own, "query_id", "left").select("query_id", "answer", "used").mapInPandas(run, f"query_id {kind}, answer string, citations array<{item}>")

@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.text import token_count, turkish_lower
 from ..functions.unicode import tr_lower
+from ..sources.readers import bounded
 
 PER_DOCUMENT, CLOSE, SAME = 2, 0.03, 0.8
 # Sections in their order.
@@ -95,7 +96,7 @@ def diversify(results: DataFrame) -> DataFrame:
                 alive[y] = not least or len(words[x] & words[y]) / least < SAME
         return f.iloc[picks].assign(context_rank=range(1, len(picks) + 1))[schema.names]
 
-    return results.groupBy("query_id").applyInPandas(run, schema)
+    return bounded(results).groupBy("query_id").applyInPandas(run, schema)
 
 
 def section_label(title: Column, heading_path: Column, markdown: Column) -> Column:

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.unicode import PLAN_TYPE, Retrieval, scored, tr_lower, understood
+from ..sources.readers import bounded
 
 
 def plan_queries(queries: DataFrame, config: Retrieval = Retrieval()) -> DataFrame:
     """queries (query_id, question) with their plans."""
-    return queries.where(F.trim("question") != "").select("query_id", understood(F.trim("question"), config).alias("p")).select("query_id", "p.*")
+    return bounded(queries).where(F.trim("question") != "").select("query_id", understood(F.trim("question"), config).alias("p")).select("query_id", "p.*")
 
 
 def variants(plans: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def _dropped(hits: DataFrame, reason: Column) -> DataFrame:
 def rank_hits(best: DataFrame, plans: DataFrame, config: Retrieval = Retrieval()) -> DataFrame:
     """Hybrid scores: vector, title, best metadata field, alias and entity."""
     p = plans.select("query_id", "expanded_queries", F.transform("matched_aliases", lambda a: a.canonical).alias("aliases"), F.transform("detected_entities", lambda e: e.normalized_value).alias("entity_values"), F.transform("detected_entities", lambda e: e.type).alias("entity_types"))
-    h = best.join(p, "query_id")
+    h = bounded(best).join(p, "query_id")
     value = lambda f: F.concat_ws(" ", "heading_path") if f == "headingPath" else F.col("title") if f == "title" else F.try_element_at("metadata", F.lit(f))
     fields = [f for f in config.metadata_fields if f != "title"]
     h = h.withColumn("title_score", scored(F.col("expanded_queries"), F.coalesce("title", F.lit(""))))
@@ -126,7 +127,7 @@ def merge_adjacent(ranked: DataFrame, top_k: int) -> DataFrame:
         out.sort(key=lambda r: (-r[18], r[4], r[13], r[3]))
         return pd.DataFrame([(*r, i + 1) for i, r in enumerate(out[: max(1, top_k)])], columns=names)
 
-    return ranked.groupBy("query_id").applyInPandas(run, schema)
+    return bounded(ranked).groupBy("query_id").applyInPandas(run, schema)
 
 
 def unselected(ranked: DataFrame, results: DataFrame) -> DataFrame:

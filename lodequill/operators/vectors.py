@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import vector_id
+from ..sources.readers import bounded
 from ..sources.sinks import materialize
 from .manifest import one_row
 
@@ -47,7 +48,7 @@ def embed_texts(rows: DataFrame, key: str, text: str, embed: Embedder, batch: in
                 vectors += [list(map(float, v)) for v in got]
             yield pd.DataFrame({key: f[key], "embedding": vectors})
 
-    return rows.select(key, F.col(text).alias("input")).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, embedding array<float>")
+    return bounded(rows).select(key, F.col(text).alias("input")).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, embedding array<float>")
 
 
 def try_embed(rows: DataFrame, key: str, text: str, embed: Embedder, batch: int = 64) -> DataFrame:
@@ -70,7 +71,7 @@ def try_embed(rows: DataFrame, key: str, text: str, embed: Embedder, batch: int
                     errors += [str(e) or type(e).__name__] * len(part)
             yield pd.DataFrame({key: f[key], "embedding": vectors, "error": errors})
 
-    return rows.select(key, F.col(text).alias("input")).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, embedding array<float>, error string")
+    return bounded(rows).select(key, F.col(text).alias("input")).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, embedding array<float>, error string")
 
 
 def embed_queries(queries: DataFrame, embed: Embedder, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -175,13 +176,18 @@ def knn(queries: DataFrame, index: DataFrame, k: int, threshold: float | None =
     """The k most similar index rows of each query by cosine: (query_id, key,
     score), ties to the smaller key. Queries are a stated set and come in blocks
     of `block`, which bounds what is sent to tasks; each task multiplies its
-    batch with a block and keeps k rows a query."""
+    batch, a tile of it at a time, with a block and keeps k rows a query. What
+    more than one block reads is made once."""
     parts = queries.select("query_id", F.col("embedding").alias("q"))
     n = parts.count()
     blocks = max(1, -(-n // block))
+    index = index.select(key, "embedding")
+    if blocks > 1:
+        of = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block")
+        parts, index = materialize(parts.select("query_id", "q", of)), materialize(index)
     out = None
     for b in range(blocks):
-        own = parts.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect() if blocks > 1 else parts.collect()
+        own = parts.where(F.col("block") == b).drop("block").collect() if blocks > 1 else parts.collect()
         if own:
             found = _scan(index, own, k, threshold, key, digits)
             out = found if out is None else out.unionByName(found)
@@ -191,41 +197,61 @@ def knn(queries: DataFrame, index: DataFrame, k: int, threshold: float | None =
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
 
 
+TILE = 1 << 19  # scores that a task holds at once
+
+
 def _scan(index: DataFrame, own, k: int, threshold, key: str, digits: int) -> DataFrame:
+    own = [r for r in own if r.q is not None]
     dims = {len(r.q) for r in own}
     ids = {d: [r.query_id for r in own if len(r.q) == d] for d in dims}
     mats = {d: np.array([r.q for r in own if len(r.q) == d], np.float64).reshape(len(ids[d]), d) for d in dims}
     norms = {d: np.linalg.norm(m, axis=1) for d, m in mats.items()}
     kinds = dict(index.dtypes)
-    id_kind = "long" if isinstance(own[0].query_id, int) else "string"
+    slack = 10.0**-digits
+    id_kind = "long" if own and isinstance(own[0].query_id, int) else "string"
+
+    def tile(best, d, x, keys):
+        """The k best of each query, `best` and those of the rows x together."""
+        n = np.linalg.norm(x, axis=1)
+        s = mats[d] @ x.T
+        scale = norms[d][:, None] * n[None, :]
+        s = np.divide(s, scale, out=np.zeros_like(s), where=scale > 0)
+        least = best[1] if threshold is None else np.maximum(best[1], threshold)
+        near = s >= (least - slack)[:, None]
+        if s.shape[1] > k and np.count_nonzero(near) > 4 * k * len(s):  # as in the first tile
+            s[np.isnan(s)] = -np.inf  # no score
+            near &= s >= (np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - slack)[:, None]
+        q, i = np.nonzero(near & np.isfinite(s))
+        score = np.round(s[q, i], digits) + 0.0  # only what can be among the best is rounded
+        some = score >= least[q]
+        q, i, score = q[some], i[some], score[some]
+        if not len(q):
+            return best
+        q, score, name = np.concatenate([best[0][0], q]), np.concatenate([best[0][1], score]), np.concatenate([best[0][2], keys[i]])
+        order = np.lexsort((np.unique(name, return_inverse=True)[1], -score, q))
+        q, score, name = q[order], score[order], name[order]
+        first = np.searchsorted(q, np.arange(len(ids[d])))
+        nth = np.arange(len(q)) - first[q]
+        kth = best[1].copy()
+        kth[q[nth == k - 1]] = score[nth == k - 1]
+        return (q[nth < k], score[nth < k], name[nth < k]), kth
 
     def run(frames):
-        best: dict = {}
+        best = {d: ((np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object)), np.full(len(ids[d]), -np.inf)) for d in dims}
         for f in frames:
             size = f.embedding.map(lambda v: -1 if v is None else len(v))
             for d in dims:
                 part = f[size == d]
-                if not len(part):
-                    continue
-                x = np.stack(part.embedding.to_list()).astype(np.float64).reshape(len(part), d)
-                n = np.linalg.norm(x, axis=1)
-                s = mats[d] @ x.T
-                scale = norms[d][:, None] * n[None, :]
-                s = np.round(np.divide(s, scale, out=np.zeros_like(s), where=scale > 0), digits) + 0.0
-                keys = part[key].to_numpy()
-                for i, q in enumerate(ids[d]):
-                    row = s[i]
-                    top = np.argpartition(-row, k - 1)[:k] if len(row) > k else np.arange(len(row))
-                    top = np.flatnonzero(row >= row[top].min())
-                    have = best.get(q, ([], []))
-                    sc, ky = np.concatenate([have[0], row[top]]), list(have[1]) + keys[top].tolist()
-                    order = sorted(range(len(ky)), key=lambda j: (-sc[j], ky[j]))[:k]
-                    best[q] = [sc[j] for j in order], [ky[j] for j in order]
-        rows = [(q, ky, float(sc)) for q, (s, kys) in best.items() for sc, ky in zip(s, kys) if threshold is None or sc >= threshold]
-        if rows:
-            yield pd.DataFrame(rows, columns=["query_id", key, "score"])
-
-    return index.select(key, "embedding").mapInPandas(run, f"query_id {id_kind}, {key} {kinds[key]}, score double")
+                rows = max(1, TILE // len(ids[d]))
+                for a in range(0, len(part), rows):
+                    some = part.iloc[a : a + rows]
+                    x = np.stack(some.embedding.to_list()).astype(np.float64).reshape(len(some), d)
+                    best[d] = tile(best[d], d, x, some[key].to_numpy(object))
+        for d, ((q, score, name), _) in best.items():
+            if len(q):
+                yield pd.DataFrame({"query_id": [ids[d][i] for i in q.tolist()], key: name.tolist(), "score": score})
+
+    return bounded(index).select(key, "embedding").mapInPandas(run, f"query_id {id_kind}, {key} {kinds[key]}, score double")
 
 
 # ---- synchronisation

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import short_hash, snippet
 from ..functions.unicode import Retrieval
 from ..operators import answer, context, evaluate, retrieval, vectors
+from ..sources.readers import spread
+from ..sources.sinks import materialize
 
 VERSION = "0.1.0"
 FEATURES = ("search", "prompt", "answer", "sources", "document", "chunk", "stats", "diagnostics")
@@ -60,9 +62,9 @@ class KnowledgeService:
     def _hits(self, r: Request) -> tuple[DataFrame, DataFrame]:
         if self.known_sources and not set(r.sources) <= set(self.known_sources):
             raise ValueError(f"sources must be among {', '.join(self.known_sources)}")
-        plans = retrieval.plan_queries(r.questions, self.config)
+        plans = materialize(retrieval.plan_queries(spread(r.questions), self.config))  # read by each step
         asked = retrieval.variants(plans)
-        embedded = vectors.embed_texts(asked.select("variant").distinct(), "variant", "variant", self.embed)
+        embedded = materialize(vectors.embed_texts(asked.select("variant").distinct(), "variant", "variant", self.embed))
         rows = vectors.payload_filter(self.index, **r.filters)
         if r.sources:
             rows = rows.where(F.col("source").isin(*r.sources))

@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +300,38 @@ def test_repeated_page_ids_stay_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sorted((r.page_id, r.url) for r in pages.page_quality(df).collect()) == [(1, "http://x/a"), (1, "http://x/a"), (2, "http://x/b")]
     assert len({r.chunk_index for r in etl.pages_to_chunks(df).where("source_file = 'page-1.md'").collect()}) * 2 == etl.pages_to_chunks(df).where("source_file = 'page-1.md'").count()
+
+
+def test_python_batches_are_bounded(spark):
+    """A worker gets few rows at a time, whatever its task has."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        rows = readers.bounded(spark.range(5000).coalesce(1))
+        sizes = rows.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long").collect()
+        assert max(r.n for r in sizes) <= readers.BATCH_ROWS and sum(r.n for r in sizes) == 5000
+        spark.conf.set(key, "7")
+        readers.bounded(rows)
+        assert spark.conf.get(key) == "7"
+        spark.conf.set(key, "10000")
+        chunking.chunk_documents(spark.createDataFrame([("a", "# t", None, None, None)], "source_file string, markdown string, title string, url string, language string"))
+        assert int(spark.conf.get(key)) <= readers.BATCH_ROWS
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_knn_by_tiles_and_blocks_is_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "TILE", 60)
+    rng = np.random.default_rng(3)
+    x = rng.integers(-2, 3, (300, 4)).astype(float)  # many ties
+    index = spark.createDataFrame([(f"k{i:03}", v.tolist()) for i, v in enumerate(x)], "vec_id string, embedding array<double>").repartition(3)
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:40])], "query_id long, embedding array<double>")
+    n = np.linalg.norm(x, axis=1)
+    scale = np.outer(n, n)
+    s = np.round(np.divide(x @ x.T, scale, out=np.zeros_like(scale), where=scale > 0), 6) + 0.0
+    for least in (None, 0.5):
+        want = {(q, f"k{i:03}", s[q, i]) for q in range(40) for i in sorted(range(300), key=lambda i: (-s[q, i], i))[:5] if least is None or s[q, i] >= least}
+        got = vectors.knn(queries, index, 5, least, block=16).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+        assert {tuple(r) for r in vectors.knn(queries, index, 5, least).collect()} == want
