@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import answer_payload, clamp, half_up
 from ..functions.unicode import excerpt
 from ..sources.readers import bounded
+from ..sources.sinks import materialize
 
 UNSUPPORTED = "The retrieved context does not contain enough information to answer this question."
 ChatModel = Callable[[str], str]
@@ -60,11 +61,11 @@ def confidence(supported: Column, n_used: Column, similarity: Column, agree: Col
 def strict_answers(prompts: DataFrame, chunks: DataFrame, model: ChatModel = extractive_model) -> tuple[DataFrame, DataFrame]:
     """Answers (query_id, answer, confidence, error) and chunks with `used`.
     chunks: those of the prompt with `selected`; ids the model names are kept
-    if they were in the prompt."""
+    if they were in the prompt. The model is asked once a question."""
     shown = chunks.where("selected")
     n = shown.groupBy("query_id").agg(F.count(F.lit(1)).alias("shown"))
     asked = prompts.join(n, "query_id", "left")
-    replies = complete(asked, model, F.col("shown") > 0).withColumn("p", answer_payload(F.col("reply")))
+    replies = materialize(complete(asked, model, F.col("shown") > 0)).withColumn("p", answer_payload(F.col("reply")))
     ids = replies.select("query_id", F.explode(F.array_distinct("p.used_chunk_ids")).alias("chunk_id"))
     ok = replies.where("p.answer_supported").select("query_id")
     used = shown.join(ids, ["query_id", "chunk_id"], "left_semi").join(ok, "query_id", "left_semi")

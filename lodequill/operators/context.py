@@ -13,6 +13,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from ..functions.text import token_count, turkish_lower
 from ..functions.unicode import tr_lower
 from ..sources.readers import bounded
+from ..sources.sinks import materialize
 
 PER_DOCUMENT, CLOSE, SAME = 2, 0.03, 0.8
 # Sections in their order.
@@ -145,7 +146,7 @@ def assemble(results: DataFrame, questions: DataFrame, budget: int = 6000, order
     Without `order`, chunks come by similarity."""
     by = [order] if order else [F.desc("similarity_score"), "document_id", "chunk_index", "chunk_id"]
     r = results.withColumn("prompt_rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*by)))
-    r = r.withColumn("estimated_tokens", token_count(render_chunk(F.col("prompt_rank"))))
+    r = materialize(r.withColumn("estimated_tokens", token_count(render_chunk(F.col("prompt_rank")))))  # a search is made once
     r = pack(r, budget, "query_id", "prompt_rank", "estimated_tokens").withColumn("trim_reason", F.when(~F.col("selected"), f"context token budget exceeded ({budget})"))
     kept = r.where("selected").withColumn("text", render_chunk(F.col("prompt_rank"), "###" if sections else "##"))
     joined = lambda rows, sep: F.array_join(F.transform(F.array_sort(rows), lambda x: x.text), sep)

@@ -335,3 +335,17 @@ def test_knn_by_tiles_and_blocks_is_brute_force(spark, monkeypatch):
         got = vectors.knn(queries, index, 5, least, block=16).collect()
         assert len(got) == len(want) and {tuple(r) for r in got} == want
         assert {tuple(r) for r in vectors.knn(queries, index, 5, least).collect()} == want
+
+
+def test_a_model_is_asked_once_a_question(spark, tmp_path):
+    def model(prompt):
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write("x")
+        return '{"answer": "a [c1]", "usedChunkIds": ["c1"], "answerSupported": true, "evidenceComplete": true}'
+
+    prompts = spark.createDataFrame([(1, "p")], "query_id long, prompt string")
+    chunks = spark.createDataFrame([(1, "c1", 1, True, "s", "t", None, [], 0.5, "f", 0, 1, "text")], "query_id long, chunk_id string, prompt_rank int, selected boolean, source string, title string, url string, heading_path array<string>, similarity_score double, source_file string, chunk_index int, total_chunks int, markdown string")
+    answers, used = answer.strict_answers(prompts, chunks, model)
+    assert answer.citations(answers, used).first().answer == "a [1]"
+    answers.collect()
+    assert (tmp_path / "calls").read_text() == "x"
