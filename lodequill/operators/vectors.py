@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,15 +20,18 @@ Embedder = Callable[[Sequence[str]], np.ndarray]
 
 
 def hash_embedder(dims: int = 64) -> Embedder:
-    """Deterministic and offline: signed hashed words, unit length."""
-    import hashlib
+    """Deterministic and offline: signed hashed words, unit length. A word is
+    hashed once a call."""
 
     def embed(texts):
+        words = [t.lower().split() for t in texts]
+        number = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
+        digests = np.frombuffer(b"".join(hashlib.md5(w.encode()).digest() for w in number), np.uint8).reshape(-1, 16)
+        place, sign = digests[:, :4].copy().view("<u4").ravel() % dims, np.where(digests[:, 4] & 1, 1.0, -1.0)
         out = np.zeros((len(texts), dims))
-        for i, t in enumerate(texts):
-            for w in t.lower().split():
-                h = hashlib.md5(w.encode()).digest()
-                out[i, int.from_bytes(h[:4], "little") % dims] += 1 if h[4] & 1 else -1
+        for i, own in enumerate(words):
+            at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
+            out[i] = np.bincount(place[at], sign[at], dims)
         n = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(n > 0, n, 1)
 

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lodequill.functions import dom, numbers, text, tokens, unicode
+from lodequill.operators import chunking
 
 
 @given(st.integers(1, 4999))
@@ -88,3 +89,21 @@ def test_tree():
     assert [n.all_text() for n in t.select("p")] == ["x", "y z"] and len(t.select("li")) == 2
     assert len(t.select(".b,#none")) == 1 and len(t.select("[class*='A' i]")) == 1 and len(t.select("img[src=q]")) == 1
     assert unicodedata.normalize("NFC", dom.render(t.first("li"))) == "<li>1</li>"
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.text(alphabet="ab9éİß'’ _.-\t\n\xa0 ́漢😀", min_size=tokens.SHORT + 1, max_size=tokens.SHORT + 400))
+def test_long_texts_count_as_their_patterns(s):
+    assert tokens.default_counter(s) == len(tokens._TOKEN.findall(s))
+    assert tokens.apostrophe_words(s) == len(tokens._WORD.findall(s))
+
+
+@settings(deadline=None)
+@given(st.text(alphabet="ab1!()[]#> -+*.)_~`|\r\t\n", max_size=60))
+def test_plain_text_is_all_its_steps(s):
+    import re
+
+    want = s
+    for pattern, to in text.PLAIN_STEPS:
+        want = re.sub(pattern, to.replace("$1", r"\1"), want)
+    assert chunking.plain_text(s) == want.strip()

@@ -349,3 +349,18 @@ def test_a_model_is_asked_once_a_question(spark, tmp_path):
     assert answer.citations(answers, used).first().answer == "a [1]"
     answers.collect()
     assert (tmp_path / "calls").read_text() == "x"
+
+
+def test_a_word_is_hashed_once_by_the_embedder(monkeypatch):
+    import hashlib
+
+    asked, md5 = [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda b: asked.append(b) or md5(b))
+    text = "only-here and only-there " * 50
+    got = vectors.hash_embedder(16)([text, text])
+    assert len(asked) == len(set(asked))
+    want = np.zeros(16)
+    for w in text.split():
+        h = md5(w.encode()).digest()
+        want[int.from_bytes(h[:4], "little") % 16] += 1 if h[4] & 1 else -1
+    assert (got == want / np.linalg.norm(want)).all()
