@@ -364,3 +364,24 @@ def test_a_word_is_hashed_once_by_the_embedder(monkeypatch):
         h = md5(w.encode()).digest()
         want[int.from_bytes(h[:4], "little") % 16] += 1 if h[4] & 1 else -1
     assert (got == want / np.linalg.norm(want)).all()
+
+
+def test_arrivals_are_replayed_as_a_stream(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"u{rng.integers(0, 60):02}", bool(rng.integers(0, 9)), int(rng.integers(0, 6)), f"t{rng.integers(0, 30)}", int(sum(1 << int(b) for b in rng.integers(0, 9, 3))), int(rng.integers(0, 40))) for i in range(300)]
+    d = spark.createDataFrame(rows, "page_id long, url string, indexable boolean, quality_score int, text_hash string, simhash long, fetched_at long").repartition(3)
+    chosen, want = {}, {r[0]: ("skipped" if not r[2] else "indexed", None) for r in rows}
+    for r in sorted((r for r in rows if r[2]), key=lambda r: (r[6], r[1], r[0])):  # all pages are one component
+        hit = next((c for c in chosen.values() if c[1] != r[1] and (c[4] == r[4] or (c[5] ^ r[5]).bit_count() <= 3)), None)
+        if hit is not None and hit[3] >= r[3]:
+            want[r[0]] = ("duplicate", hit[1])
+            continue
+        chosen[r[1]] = r
+        if hit is not None:
+            del chosen[hit[1]]
+            want[hit[0]] = ("replaced", r[1])
+    out = near_dup.resolve(d)
+    got = out.select("page_id", "status", "duplicate_of").collect()
+    assert len(got) == 300 and {r.page_id: (r.status, r.duplicate_of) for r in got} == want
+    assert {"indexed", "duplicate", "replaced"} <= {s for s, _ in want.values()}
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().toString()
