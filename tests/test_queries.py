@@ -165,3 +165,23 @@ def test_titles_of_links_are_those_of_the_sql(spark, made):
     got = sorted(map(tuple, QUERIES["page_links"](spark, sf).collect()))
     assert got == sorted(con.execute(ORACLE["page_links"]).fetchall())
     assert got[1][1] == "say &quot;a&quot; &amp" and got[-1] == (9, None, None)
+
+
+# Queries whose workers once held what their tasks had.
+BOUNDED = [
+    "svc_prompt",
+]
+
+
+@pytest.mark.parametrize("name", BOUNDED)
+def test_queries_bound_what_a_worker_gets(spark, sf_dir, name):
+    keys = {f"spark.sql.execution.arrow.{k}": (wide, most) for k, wide, most in (("maxRecordsPerBatch", "10000", 512), ("maxBytesPerBatch", "268435456b", 4 << 20))}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, (wide, _) in keys.items():
+            spark.conf.set(k, wide)
+        QUERIES[name](spark, sf_dir)
+        assert all(int(spark.conf.get(k).removesuffix("b")) <= most for k, (_, most) in keys.items())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
