@@ -170,6 +170,7 @@ def test_titles_of_links_are_those_of_the_sql(spark, made):
 # Queries whose workers once held what their tasks had.
 BOUNDED = [
     "svc_prompt",
+    "cited_answers",
 ]
 
 
