@@ -171,6 +171,7 @@ def test_titles_of_links_are_those_of_the_sql(spark, made):
 BOUNDED = [
     "svc_prompt",
     "cited_answers",
+    "svc_answer",
 ]
 
 
