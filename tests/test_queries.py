@@ -172,6 +172,7 @@ BOUNDED = [
     "svc_prompt",
     "cited_answers",
     "svc_answer",
+    "text_forms",
 ]
 
 
