@@ -173,6 +173,7 @@ BOUNDED = [
     "cited_answers",
     "svc_answer",
     "text_forms",
+    "token_frequency",
 ]
 
 
