@@ -174,6 +174,7 @@ BOUNDED = [
     "svc_answer",
     "text_forms",
     "token_frequency",
+    "collection_results",
 ]
 
 
