@@ -175,6 +175,7 @@ BOUNDED = [
     "text_forms",
     "token_frequency",
     "collection_results",
+    "knn_topk",
 ]
 
 
