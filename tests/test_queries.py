@@ -176,6 +176,7 @@ BOUNDED = [
     "token_frequency",
     "collection_results",
     "knn_topk",
+    "page_quality",
 ]
 
 
