@@ -177,6 +177,7 @@ BOUNDED = [
     "collection_results",
     "knn_topk",
     "page_quality",
+    "multi_variant_best",
 ]
 
 
