@@ -178,6 +178,7 @@ BOUNDED = [
     "knn_topk",
     "page_quality",
     "multi_variant_best",
+    "page_chunks",
 ]
 
 
