@@ -179,6 +179,7 @@ BOUNDED = [
     "page_quality",
     "multi_variant_best",
     "page_chunks",
+    "diversity_metrics",
 ]
 
 
