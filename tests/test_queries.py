@@ -180,6 +180,7 @@ BOUNDED = [
     "multi_variant_best",
     "page_chunks",
     "diversity_metrics",
+    "dropped_candidates",
 ]
 
 
