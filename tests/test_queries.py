@@ -181,6 +181,7 @@ BOUNDED = [
     "page_chunks",
     "diversity_metrics",
     "dropped_candidates",
+    "knn_threshold",
 ]
 
 
