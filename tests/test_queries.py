@@ -182,6 +182,7 @@ BOUNDED = [
     "diversity_metrics",
     "dropped_candidates",
     "knn_threshold",
+    "prompts",
 ]
 
 
