@@ -183,6 +183,7 @@ BOUNDED = [
     "dropped_candidates",
     "knn_threshold",
     "prompts",
+    "search_validation",
 ]
 
 
