@@ -184,6 +184,7 @@ BOUNDED = [
     "knn_threshold",
     "prompts",
     "search_validation",
+    "svc_document",
 ]
 
 
