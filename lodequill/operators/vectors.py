@@ -203,6 +203,7 @@ def knn(queries: DataFrame, index: DataFrame, k: int, threshold: float | None =
 
 
 TILE = 1 << 19  # scores that a task holds at once
+MERGE = 64  # tiles whose best are merged at once
 
 
 def _scan(index: DataFrame, own, k: int, threshold, key: str, digits: int) -> DataFrame:
@@ -215,34 +216,36 @@ def _scan(index: DataFrame, own, k: int, threshold, key: str, digits: int) -> Da
     slack = 10.0**-digits
     id_kind = "long" if own and isinstance(own[0].query_id, int) else "string"
 
-    def tile(best, d, x, keys):
-        """The k best of each query, `best` and those of the rows x together."""
+    def near(kth, d, x, keys):
+        """What of the rows x can be among the k best of a query."""
         n = np.linalg.norm(x, axis=1)
         s = mats[d] @ x.T
         scale = norms[d][:, None] * n[None, :]
         s = np.divide(s, scale, out=np.zeros_like(s), where=scale > 0)
-        least = best[1] if threshold is None else np.maximum(best[1], threshold)
-        near = s >= (least - slack)[:, None]
-        if s.shape[1] > k and np.count_nonzero(near) > 4 * k * len(s):  # as in the first tile
+        least = kth if threshold is None else np.maximum(kth, threshold)
+        some = s >= (least - slack)[:, None]
+        if s.shape[1] > k and np.count_nonzero(some) > 4 * k * len(s):  # as in the first tile
             s[np.isnan(s)] = -np.inf  # no score
-            near &= s >= (np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - slack)[:, None]
-        q, i = np.nonzero(near & np.isfinite(s))
+            some &= s >= (np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - slack)[:, None]
+        q, i = np.nonzero(some & np.isfinite(s))
         score = np.round(s[q, i], digits) + 0.0  # only what can be among the best is rounded
-        some = score >= least[q]
-        q, i, score = q[some], i[some], score[some]
-        if not len(q):
-            return best
-        q, score, name = np.concatenate([best[0][0], q]), np.concatenate([best[0][1], score]), np.concatenate([best[0][2], keys[i]])
-        order = np.lexsort((np.unique(name, return_inverse=True)[1], -score, q))
+        good = score >= least[q]
+        return q[good], score[good], keys[i[good]]
+
+    def merged(d, found):
+        """The k best of each query and its k-th score, -inf where it has fewer."""
+        q, score, name = map(np.concatenate, zip(*found))
+        order = np.lexsort((np.unique(name, return_inverse=True)[1] if name.dtype == object else name, -score, q))
         q, score, name = q[order], score[order], name[order]
-        first = np.searchsorted(q, np.arange(len(ids[d])))
-        nth = np.arange(len(q)) - first[q]
-        kth = best[1].copy()
+        nth = np.arange(len(q)) - np.searchsorted(q, np.arange(len(ids[d])))[q]
+        kth = np.full(len(ids[d]), -np.inf)
         kth[q[nth == k - 1]] = score[nth == k - 1]
         return (q[nth < k], score[nth < k], name[nth < k]), kth
 
     def run(frames):
-        best = {d: ((np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object)), np.full(len(ids[d]), -np.inf)) for d in dims}
+        found = {d: [] for d in dims}  # the best so far and then what tiles added: merged when that is a quarter of the best
+        kth = {d: np.full(len(ids[d]), -np.inf) for d in dims}
+        new = dict.fromkeys(dims, 0)
         for f in frames:
             size = f.embedding.map(lambda v: -1 if v is None else len(v))
             for d in dims:
@@ -251,10 +254,16 @@ def _scan(index: DataFrame, own, k: int, threshold, key: str, digits: int) -> Da
                 for a in range(0, len(part), rows):
                     some = part.iloc[a : a + rows]
                     x = np.stack(some.embedding.to_list()).astype(np.float64).reshape(len(some), d)
-                    best[d] = tile(best[d], d, x, some[key].to_numpy(object))
-        for d, ((q, score, name), _) in best.items():
-            if len(q):
-                yield pd.DataFrame({"query_id": [ids[d][i] for i in q.tolist()], key: name.tolist(), "score": score})
+                    found[d].append(near(kth[d], d, x, some[key].to_numpy(None if some[key].dtype == np.int64 else object)))
+                    new[d] += len(found[d][-1][0])
+                    if new[d] > k * len(ids[d]) // 4 or len(found[d]) > MERGE:
+                        best, kth[d] = merged(d, found[d])
+                        found[d], new[d] = [best], 0
+        for d in dims:
+            if found[d]:
+                q, score, name = merged(d, found[d])[0]
+                if len(q):
+                    yield pd.DataFrame({"query_id": [ids[d][i] for i in q.tolist()], key: name.tolist(), "score": score})
 
     return bounded(index).select(key, "embedding").mapInPandas(run, f"query_id {id_kind}, {key} {kinds[key]}, score double")
 

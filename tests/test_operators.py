@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -385,3 +387,28 @@ def test_arrivals_are_replayed_as_a_stream(spark):
     assert len(got) == 300 and {r.page_id: (r.status, r.duplicate_of) for r in got} == want
     assert {"indexed", "duplicate", "replaced"} <= {s for s, _ in want.values()}
     assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("kind", [int, str])
+def test_knn_merges_the_best_of_several_tiles_at_once(monkeypatch, kind):
+    class Rows:
+        dtypes = [("vec_id", "bigint"), ("embedding", "array<float>")]
+        select = lambda self, *_: self
+        mapInPandas = lambda self, run, _: run
+
+    k, asked, rows, sort, sorts = 4, 32, 50, np.lexsort, []
+    monkeypatch.setattr(vectors, "bounded", lambda df: df)
+    monkeypatch.setattr(vectors, "TILE", asked * rows)
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorts.append(1) or sort(keys))
+    x = np.random.default_rng(1).integers(-2, 3, (2000, 4)).astype(float)  # with ties
+    own = [SimpleNamespace(query_id=i, q=v) for i, v in enumerate(x[:asked])]
+    frames = [pd.DataFrame({"vec_id": [kind(i) for i in range(a, a + 100)], "embedding": list(x[a : a + 100])}) for a in range(0, len(x), 100)]
+    got = pd.concat(vectors._scan(Rows(), own, k, None, "vec_id", 6)(frames))
+    assert len(sorts) < len(x) // rows // 2
+    norm = np.linalg.norm(x, axis=1)
+    for r in own:
+        scale = norm * norm[r.query_id]
+        score = np.round(np.divide(x @ r.q, scale, out=np.zeros(len(x)), where=scale > 0), 6)
+        want = sorted((-s, kind(i)) for i, s in enumerate(score))[:k]
+        mine = got[got.query_id == r.query_id]
+        assert sorted((-s, i) for s, i in zip(mine.score, mine.vec_id)) == want
